@@ -6,7 +6,7 @@ import os
 from typing import Any
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -49,6 +49,21 @@ class ParamEstimator(Estimator, HasColumns, DefaultParamsReadable, DefaultParams
         return self.getOrDefault(name)
 
 
+class ParamTransformer(Transformer, HasColumns, DefaultParamsReadable, DefaultParamsWritable):
+    """Stateless stage whose constructor takes its parameters by name."""
+
+    defaults: dict[str, Any] = {}
+
+    @keyword_only
+    def __init__(self, **kwargs):
+        super().__init__()
+        self._setDefault(**self.defaults)
+        self._set(**kwargs)
+
+    def get(self, name: str):
+        return self.getOrDefault(name)
+
+
 class _TableModelWriter(MLWriter):
     def __init__(self, instance: "TableModel"):
         super().__init__()

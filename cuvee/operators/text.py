@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cuvee.functions import text
 from cuvee.functions.stem import stem_series
 from cuvee.operators.scale import attach, fits_broadcast, ordered_index
-from cuvee.operators.stages import ParamEstimator, TableModel
+from cuvee.operators.stages import ParamEstimator, ParamTransformer, TableModel
 from cuvee.runtime import materialize, ship_package
 from cuvee.schema import KEY
 
@@ -59,87 +59,96 @@ def normalize_descriptions(df: DataFrame, column: str = "description", key: str
     )
 
 
-def count_terms(df: DataFrame, columns: list[str], key: str = KEY) -> DataFrame:
-    """(key, terms): one array of (source, term, n) over all text columns, counted inside the row."""
+class TermCounter(ParamTransformer):
+    """Adds one array of (source, term, n) over all text columns, counted inside the row."""
 
-    def from_column(c: str):
-        return lambda t: F.struct(F.lit(c).alias("source"), t["term"].alias("term"), t["n"].alias("n"))
+    outputCol = Param(Params._dummy(), "outputCol", "array of term counts", TypeConverters.toString)
+    defaults = {"outputCol": "terms"}
 
-    counts = [F.transform(text.term_counts(text.index_terms(F.col(c))), from_column(c)) for c in columns]
-    return df.select(key, F.concat(*counts).alias("terms"))
+    def _transform(self, df: DataFrame) -> DataFrame:
+        def from_column(c: str):
+            return lambda t: F.struct(F.lit(c).alias("source"), t["term"].alias("term"), t["n"].alias("n"))
+
+        counts = [F.transform(text.term_counts(text.index_terms(F.col(c))), from_column(c)) for c in self.inputs]
+        return df.withColumn(self.get("outputCol"), F.concat(*counts))
+
+
+class HasTerms(Params):
+    termsCol = Param(Params._dummy(), "termsCol", "output of TermCounter", TypeConverters.toString)
+    sublinearCols = Param(
+        Params._dummy(), "sublinearCols", "columns with damped term frequency", TypeConverters.toListString
+    )
+    keyCol = Param(Params._dummy(), "keyCol", "row id column", TypeConverters.toString)
 
 
-class TermWeights(ParamEstimator):
-    """TF-IDF of several text columns.
+class TermWeights(ParamEstimator, HasTerms):
+    """TF-IDF of the text columns ``inputCols`` from their term counts.
 
     Term frequency is the count or, for columns in ``sublinearCols``, 1 + ln(count); idf is
     ln((1 + rows) / (1 + rows with the term)) + 1; every row of a column has length 1. Terms are numbered in sorted
     order per column. ``transform`` returns the long form (key, source, term_id, weight).
     """
 
-    sublinearCols = Param(
-        Params._dummy(), "sublinearCols", "columns with damped term frequency", TypeConverters.toListString
-    )
-    keyCol = Param(Params._dummy(), "keyCol", "row id column", TypeConverters.toString)
-    defaults = {"sublinearCols": [], "keyCol": KEY}
+    defaults = {"termsCol": "terms", "sublinearCols": [], "keyCol": KEY}
 
     def _fit(self, df: DataFrame) -> "TermWeightsModel":
-        return self.fit_counts(count_terms(df, self.inputs, self.get("keyCol")))
-
-    def fit_counts(self, counted: DataFrame) -> "TermWeightsModel":
-        """Fit on the output of ``count_terms``, which does not depend on the rows chosen for training."""
-        n = counted.count()
+        n = df.count()
         frequency = (
-            unnest(counted, "terms").groupBy("source", "term").agg(F.count(F.lit(1)).alias("df"))
+            unnest(df, self.get("termsCol"))
+            .where(F.col("source").isin(self.inputs))
+            .groupBy("source", "term")
+            .agg(F.count(F.lit(1)).alias("df"))
         )
         positions = ordered_index(frequency, ["source", "term"], "position")
-        first = {r["source"]: r["first"] for r in positions.groupBy("source").agg(F.min("position").alias("first")).collect()}
-        start = F.create_map(*[F.lit(x) for c in self.inputs for x in (c, first.get(c, 0))])
+        spans = positions.groupBy("source").agg(F.min("position").alias("first"), F.count(F.lit(1)).alias("size"))
+        found = {r["source"]: r for r in spans.collect()}
+        sizes = {c: found[c]["size"] if c in found else 0 for c in self.inputs}
+        start = F.create_map(*[F.lit(x) for c in found for x in (c, found[c]["first"])]) if found else F.lit(None)
+        number = F.col("position") - (start[F.col("source")] if found else F.lit(0))
         vocabulary = materialize(
             positions.select(
                 "source",
                 "term",
-                (F.col("position") - start[F.col("source")]).cast("int").alias("term_id"),
+                number.cast("int").alias("term_id"),
                 "df",
                 (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"),
             ),
             "vocabulary",
         )
-        sizes = {r["source"]: r["size"] for r in vocabulary.groupBy("source").agg(F.count(F.lit(1)).alias("size")).collect()}
-        state = {"small": fits_broadcast(vocabulary), "sizes": {c: sizes.get(c, 0) for c in self.inputs}}
-        return TermWeightsModel().of(self, state=state, vocabulary=vocabulary)
+        return TermWeightsModel().of(
+            self, state={"small": fits_broadcast(vocabulary), "sizes": sizes}, vocabulary=vocabulary
+        )
 
 
-class TermWeightsModel(TableModel):
-    sublinearCols, keyCol = TermWeights.sublinearCols, TermWeights.keyCol
+class TermWeightsModel(TableModel, HasTerms):
     table_names = ("vocabulary",)
 
-    def packed(self, counted: DataFrame) -> DataFrame:
+    def packed(self, df: DataFrame) -> DataFrame:
         """(key, source, ids, weights): one row per text that has a known term, ids ascending.
 
         The counts are partitioned by key first; exploding and the broadcast lookup keep that, so collecting the
         weights of a text needs no further shuffle.
         """
-        key = self.get("keyCol")
-        long = unnest(counted.repartition(key), "terms", key)
+        key, terms = self.get("keyCol"), self.get("termsCol")
+        long = unnest(df.select(key, terms).repartition(key), terms, key).where(F.col("source").isin(self.inputs))
         lookup = self.tables["vocabulary"].select("source", "term", "term_id", "idf")
         known = attach(long, lookup, ["source", "term"], [key], small=self.state["small"]).where(
             F.col("term_id").isNotNull()
         )
         n = F.col("n").cast("double")
-        tf = F.when(F.col("source").isin(self.get("sublinearCols")), F.log(n) + 1).otherwise(n)
-        cells = F.sort_array(F.collect_list(F.struct("term_id", (tf * F.col("idf")).alias("w"))))
-        grouped = known.groupBy(key, "source").agg(cells.alias("cells"))
-        length = F.sqrt(F.aggregate("cells", F.lit(0.0), lambda s, c: s + c["w"] * c["w"]))
+        damped = F.col("source").isin(self.get("sublinearCols")) if self.get("sublinearCols") else F.lit(False)
+        weight = F.when(damped, F.log(n) + 1).otherwise(n) * F.col("idf")
+        grouped = known.withColumn("w", weight).groupBy(key, "source").agg(
+            F.sort_array(F.collect_list(F.struct("term_id", "w"))).alias("cells"), F.sum(F.col("w") * F.col("w")).alias("square")
+        )
         return grouped.select(
             key,
             "source",
             F.col("cells.term_id").alias("ids"),
-            text.let(length, lambda size: F.transform("cells", lambda c: c["w"] / size)).alias("weights"),
+            F.transform("cells", lambda c: c["w"] / F.sqrt("square")).alias("weights"),
         )
 
     def _transform(self, df: DataFrame) -> DataFrame:
         key = self.get("keyCol")
-        packed = self.packed(count_terms(df, self.inputs, key))
-        cells = packed.select(key, "source", F.arrays_zip("ids", "weights").alias("cells"))
+        cells = self.packed(df).select(key, "source", F.arrays_zip("ids", "weights").alias("cells"))
         return unnest(cells, "cells", key, "source").withColumnsRenamed({"ids": "term_id", "weights": "weight"})
