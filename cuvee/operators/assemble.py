@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import partial
 from typing import Any
 
 from pyspark.ml import PipelineModel
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 from cuvee.operators.encode import ExactMedianImputer, RareCategoryPooler, TargetMeanEncoder
 from cuvee.operators.text import TermCounter
 from cuvee.operators.topics import TextTopics, TextTopicsModel
+from cuvee.runtime import materialize
 from cuvee.schema import ROLES, Roles
 
 
@@ -34,6 +37,10 @@ class FeatureSettings:
     pool_per_table: bool = False
     roles: Roles = ROLES
 
+    def topic_choice(self, scope: object, column: str) -> tuple:
+        """What the topics of a text column depend on within a search."""
+        return scope, "topics", column, self.topics[column], self.sublinear[column]
+
     def with_values(self, values: dict[str, Any]) -> "FeatureSettings":
         """Settings with search values such as ``mean_min_count`` or ``topics.title`` put in."""
         changed: dict[str, Any] = {"topics": dict(self.topics), "sublinear": dict(self.sublinear)}
@@ -52,7 +59,7 @@ class StageMemo:
     def __init__(self):
         self._fitted: dict[tuple, Any] = {}
 
-    def fit(self, depends_on: tuple, make):
+    def fit(self, depends_on: tuple, make=None):
         if depends_on not in self._fitted:
             self._fitted[depends_on] = make()
         return self._fitted[depends_on]
@@ -75,17 +82,15 @@ def fit_features(
     roles = settings.roles
     key, label, cats = roles.key, roles.label, roles.categorical
 
-    imputer = memo.fit(
-        (scope, "median"),
-        lambda: ExactMedianImputer(inputCols=roles.numeric, outputCols=[f"{c}_imputed" for c in roles.numeric]).fit(train),
-    )
-    means = memo.fit(
-        (scope, "mean", settings.mean_min_count),
-        lambda: TargetMeanEncoder(inputCols=cats, labelCol=label, minCount=settings.mean_min_count, keyCol=key).fit(train),
-    )
     min_counts = [settings.pool_min_count_winery if c == "winery" else settings.pool_min_count for c in cats]
     pooled = [f"{c}_pooled" for c in cats]
 
+    def fit_median():
+        return ExactMedianImputer(inputCols=roles.numeric, outputCols=[f"{c}_imputed" for c in roles.numeric]).fit(train)
+
+    def fit_means():
+        return TargetMeanEncoder(inputCols=cats, labelCol=label, minCount=settings.mean_min_count, keyCol=key).fit(train)
+
     def fit_levels():
         pooler = RareCategoryPooler(
             inputCols=cats, outputCols=pooled, minCounts=min_counts, keyCol=key, perTable=settings.pool_per_table
@@ -99,8 +104,6 @@ def fit_features(
         one_hot = OneHotEncoder(inputCols=indexer.getOutputCols(), outputCols=[f"{c}_levels" for c in cats])
         return pooler, indexed, one_hot.fit(indexed.transform(in_levels))
 
-    levels = memo.fit((scope, "levels", *min_counts, settings.pool_per_table), fit_levels)
-
     def fit_topics(c: str) -> TextTopicsModel:
         return TextTopics(
             inputCols=[c], outputCols=[f"{c}_topics"], topics=[settings.topics[c]],
@@ -108,10 +111,15 @@ def fit_features(
             tol=settings.tol, seed=settings.seed,
         ).fit(train)
 
-    parts = [
-        memo.fit((scope, "topics", c, settings.topics[c], settings.sublinear[c]), lambda c=c: fit_topics(c))
-        for c in roles.text
-    ]
+    blocks = {
+        (scope, "median"): fit_median,
+        (scope, "mean", settings.mean_min_count): fit_means,
+        (scope, "levels", *min_counts, settings.pool_per_table): fit_levels,
+        **{settings.topic_choice(scope, c): partial(fit_topics, c) for c in roles.text},
+    }
+    # The blocks do not depend on each other, so their jobs may run at the same time.
+    with ThreadPoolExecutor(len(blocks)) as pool:
+        imputer, means, levels, *parts = pool.map(memo.fit, blocks.keys(), blocks.values())
     assembler = VectorAssembler(
         inputCols=[
             *imputer.outputs, *means.outputs, *[f"{c}_levels" for c in cats], *[f"{c}_topics" for c in roles.text]
@@ -123,11 +131,29 @@ def fit_features(
 
 def apply_features(model: PipelineModel, df: DataFrame, settings: FeatureSettings) -> DataFrame:
     """(row_id, label, price, features) of any prepared table; price is the imputed one."""
-    roles = settings.roles
     counted = df if "terms" in df.columns else count_terms(df, settings)
-    return model.transform(counted).select(
-        roles.key, F.col(roles.label).cast("double").alias("label"), F.col("price_imputed").alias("price"), "features"
-    )
+    return _feature_rows(model.transform(counted), settings)
+
+
+def apply_with_memo(
+    model: PipelineModel, df: DataFrame, settings: FeatureSettings, memo: StageMemo, scope: object, *keep: str
+) -> DataFrame:
+    """The same for a search: the topic weights of a column are computed once per choice, then joined."""
+    *encoders, topics, assembler = model.stages
+    arrays = [
+        memo.fit(
+            ("arrays", *settings.topic_choice(scope, c)),
+            lambda c=c: materialize(memo.fit(settings.topic_choice(scope, c)).arrays(df), "topic-arrays"),
+        )
+        for c in settings.roles.text
+    ]
+    encoded = PipelineModel(encoders).transform(df.drop("terms"))
+    return _feature_rows(assembler.transform(topics.attach_arrays(encoded, *arrays)), settings, *keep)
+
+
+def _feature_rows(df: DataFrame, settings: FeatureSettings, *keep: str) -> DataFrame:
+    label = F.col(settings.roles.label).cast("double").alias("label")
+    return df.select(settings.roles.key, label, F.col("price_imputed").alias("price"), "features", *keep)
 
 
 DICTIONARY_SCHEMA = T.StructType(

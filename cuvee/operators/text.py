@@ -35,7 +35,9 @@ def description_tokens(df: DataFrame, column: str = "description", key: str = KE
 def stem_table(df: DataFrame, column: str) -> DataFrame:
     """(term, stem) of the distinct words whose stem differs: each word is stemmed once, however often it occurs."""
     ship_package(df.sparkSession)
-    stemmer = F.pandas_udf(_stem_batch, "string")
+    # Declared nondeterministic so that the test below stays above the distinct: pushed under it, the test would stem
+    # every occurrence.
+    stemmer = F.pandas_udf(_stem_batch, "string").asNondeterministic()
     distinct = df.select(F.explode(column).alias("term")).distinct()
     return distinct.withColumn("stem", stemmer("term")).where(F.col("stem") != F.col("term"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 from pathlib import Path
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT = "spark.checkpoint.dir"
 _shipped_to: set[str] = set()
+_shipping = threading.Lock()
 
 
 def local_session(name: str = "cuvee", cpus: str | int = "*", partitions: int = 8) -> SparkSession:
@@ -63,8 +65,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers; once per application."""
     application = spark.sparkContext.applicationId
-    if application not in _shipped_to:
-        package = Path(__file__).parent
-        target = os.path.join(tempfile.mkdtemp(prefix="cuvee-zip-"), package.name)
-        spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", package.parent, package.name))
-        _shipped_to.add(application)
+    with _shipping:
+        if application not in _shipped_to:
+            package = Path(__file__).parent
+            target = os.path.join(tempfile.mkdtemp(prefix="cuvee-zip-"), package.name)
+            spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", package.parent, package.name))
+            _shipped_to.add(application)
