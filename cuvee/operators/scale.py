@@ -59,10 +59,10 @@ def attach(
     on = list(on)
     if small is None:
         small = fits_broadcast(lookup)
+    values = [c for c in lookup.columns if c not in on]
     if small:
-        return rows.join(F.broadcast(lookup), on, "left")
+        return rows.join(F.broadcast(lookup), on, "left").select(*rows.columns, *values)
 
-    values = [c for c in lookup.columns if c not in on]
     total = rows.count()
     hot_keys = (
         rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]))

@@ -1,0 +1,142 @@
+import math
+from collections import Counter
+
+import pytest
+from compare import connect
+from conftest import rows, spread
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from cuvee.functions import text, words
+from cuvee.functions.stem import stem
+from cuvee.operators import scale
+from cuvee.operators.text import TermCounter, TermWeights, description_tokens, normalize_descriptions
+from cuvee.plans import oracle
+
+# Word and stem pairs published with the algorithm, and the extensions.
+STEMS = """caresses caress ponies poni ties tie caress caress cats cat feed feed agreed agre plastered plaster bled bled
+motoring motor sing sing conflated conflat troubled troubl sized size hopping hop tanned tan falling fall hissing hiss
+fizzed fizz failing fail filing file happy happi relational relat conditional condit rational ration digitizer digit
+conformabli conform radicalli radic differentli differ vileli vile operator oper feudalism feudal decisiveness decis
+hopefulness hope formaliti formal sensibiliti sensibl triplicate triplic formative form formalize formal electriciti
+electr electrical electr hopeful hope goodness good revival reviv allowance allow inference infer airliner airlin
+adjustable adjust defensible defens irritant irrit replacement replac adjustment adjust dependent depend adoption adopt
+communism commun activate activ effective effect probate probat rate rate cease ceas controll control roll roll
+flies fli dies die died die enjoy enjoy sky sky dying die geology geolog at at red-berry red-berri _missing_ _missing_"""
+
+
+def test_stems():
+    pairs = STEMS.split()
+    assert [(w, stem(w)) for w in pairs[::2]] == list(zip(pairs[::2], pairs[1::2]))
+
+
+def test_words(spark):
+    said = "i don't like 'em, can't you cannot see \"x\" red-berry... it's 90% o'keefe. 1,000 kids' u.s. ok? a--b gimme"
+    df = spark.createDataFrame([(said,), ("",), (None,)], "x string")
+    got = [r[0] for r in df.select(text.word_list(F.col("x"))).collect()]
+    assert got[0] == (
+        "i do n't like 'em , ca n't you can not see `` x '' red-berry ... it 's 90 % o'keefe . 1,000 kids ' u.s . ok ? "
+        "a -- b gim me"
+    ).split()
+    assert got[1:] == [[], None]
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.data())
+def test_words_equal_the_rules_one_by_one(spark, data):
+    """The single-pass patterns against the published rules applied in turn by another engine."""
+    piece = st.sampled_from(
+        "a can not cannot don't it's we'll kids' 'tis gonna wanna more'n d'ye ... . . , , : ; ? ! ( ) [ ] { } < > \" ' -- - "
+        "1,000 5:30 u.s. etc. % $ # & @ x.y x/y 90 n't 's".split()
+        + [" ", " ", "  ", "\n", '."', ".)", "'", ",,", "....", "..", "a.", ":,5"]
+    )
+    texts = data.draw(st.lists(st.lists(piece, max_size=12).map("".join), min_size=400, max_size=400))
+    texts = [t for t in texts if t]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, x string")
+    mine = {r[0]: Counter(r[1]) for r in df.select("i", text.word_list(F.col("x"))).collect()}
+    con = connect("/root/testdata/sf0.001")
+    for i, t in enumerate(texts):
+        theirs = con.execute(f"SELECT {oracle.words('?')}", [t]).fetchall()[0][0]
+        drop = set(words.PUNCTUATION) | {""}
+        left = Counter(w for w in mine[i].elements() if w not in drop)
+        assert left == Counter(w for w in theirs if w not in drop), t
+
+
+TEXTS = [
+    (0, "The wines, and the WINE! Château wines aren't cooking; cooked cooks."),
+    (1, None),
+    (2, "the of and"),
+    (3, "red-berry red-berries 2012 x"),
+]
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 17])
+@pytest.mark.parametrize("limit", [scale.BROADCAST_BYTES, 0])
+def test_normalized_descriptions(spark, monkeypatch, partitions, limit):
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", limit)
+    df = spread(spark.createDataFrame(TEXTS, "row_id long, description string"), partitions)
+    assert rows(normalize_descriptions(df)) == [
+        (0, "wine wine chateau wine n't cook cook cook"),
+        (1, "_missing_"),
+        (2, ""),
+        (3, "red-berri red-berri 2012 x"),
+    ]
+
+
+def test_normalized_documents_equal_brute_force(spark, sf_dir):
+    """Word by word on the driver: stem every kept word of every document, in order."""
+    from cuvee.plans.fixture import document_reviews
+
+    documents = document_reviews(spark, sf_dir)
+    kept = {r[0]: r[1] for r in documents.select("row_id", text.content_words(F.col("description"))).collect()}
+    got = {r[0]: r[1] for r in normalize_descriptions(documents).collect()}
+    assert got == {i: " ".join(stem(w) for w in ws) for i, ws in kept.items()}
+
+
+def test_token_counts(spark):
+    df = spark.createDataFrame(TEXTS, "row_id long, description string")
+    assert rows(description_tokens(df).where("row_id = 3")) == [
+        (3, "2012", 1), (3, "red-berries", 1), (3, "red-berry", 1), (3, "x", 1),
+    ]
+
+
+def brute_force_weights(texts, sublinear):
+    counted = {i: Counter(t) for i, t in texts.items()}
+    seen = Counter(w for c in counted.values() for w in c)
+    vocabulary = {w: k for k, w in enumerate(sorted(seen))}
+    result = []
+    for i, c in counted.items():
+        w = {t: (1 + math.log(n) if sublinear else n) * (math.log((1 + len(texts)) / (1 + seen[t])) + 1) for t, n in c.items()}
+        length = math.sqrt(sum(x * x for x in w.values()))
+        result += [(i, vocabulary[t], round(x / length, 9)) for t, x in w.items()]
+    return sorted(result, key=repr)
+
+
+@pytest.mark.parametrize("sublinear", [True, False])
+@pytest.mark.parametrize("limit", [scale.BROADCAST_BYTES, 0])
+def test_term_weights(spark, monkeypatch, sublinear, limit):
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", limit)
+    texts = {0: "aa bb bb cc", 1: "bb x", 2: "", 3: "aa aa aa dd-ee Aa", 4: "y z"}
+    df = TermCounter(inputCols=["t", "u"]).transform(
+        spark.createDataFrame([(i, t, "zz") for i, t in texts.items()], "row_id long, t string, u string")
+    )
+    model = TermWeights(inputCols=["t", "u"], sublinearCols=["t"] if sublinear else []).fit(df)
+    tokens = {i: [w for w in t.replace("-", " ").split() if len(w) > 1] for i, t in texts.items()}
+    got = model.transform(df)
+    mine = rows(got.where("source = 't'").select("row_id", "term_id", F.round("weight", 9)))
+    assert mine == brute_force_weights(tokens, sublinear)
+    assert rows(got.where("source = 'u'"), "row_id", "term_id", "weight") == [(i, 0, 1.0) for i in range(5)]
+    unseen = TermCounter(inputCols=["t", "u"]).transform(
+        spark.createDataFrame([(9, "qq bb", "new")], "row_id long, t string, u string")
+    )
+    assert rows(model.transform(unseen)) == [(9, "t", 2, 1.0)]
+
+
+def test_weighting_shuffles_the_rows_once(spark, sf_dir):
+    from cuvee.plans.fixture import document_reviews
+
+    df = TermCounter(inputCols=["description"]).transform(document_reviews(spark, sf_dir))
+    model = TermWeights(inputCols=["description"]).fit(df)
+    plan = model.packed(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
