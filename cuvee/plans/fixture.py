@@ -37,6 +37,7 @@ JOIN {region} r ON r.r_regionkey = n.n_regionkey
 JOIN {part} p ON p.p_partkey = o.o_orderkey % {parts}
 {documents_join}
 """
+SMALL_TABLE = 256 * 1024 * 1024
 _TABLES = ["orders", "customer", "nation", "region", "part"]
 
 
@@ -44,9 +45,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """The driver's tables are single files that only one task can read, however much work follows. A table known to
+    be small is dealt out to all cores; anything larger comes in many splits and is left as it is."""
+    spark = df.sparkSession
+    read = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(spark.sparkContext.defaultParallelism, key) if read <= SMALL_TABLE else df
+
+
 def reviews(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     """The review table; without the text the documents are not read, and ``description`` is left out."""
     tables = {t: table(spark, sf_dir, t) for t in _TABLES}
+    if with_text:
+        tables["orders"] = spread_small(tables["orders"], "o_orderkey")
     sizes = {"parts": tables["part"].count()}
     description = join = ""
     if with_text:
@@ -60,7 +71,7 @@ def reviews(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFra
 
 def document_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review per document, for the text jobs: the whole text, its source and its language."""
-    return table(spark, sf_dir, "documents").select(
+    return spread_small(table(spark, sf_dir, "documents"), "doc_id").select(
         F.col("doc_id").alias("row_id"),
         F.col("text").alias("description"),
         F.concat_ws(" ", "source", "lang").alias("designation"),

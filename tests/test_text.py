@@ -134,9 +134,10 @@ def test_term_weights(spark, monkeypatch, sublinear, limit):
 
 
 def test_weighting_shuffles_the_rows_once(spark, sf_dir):
-    from cuvee.plans.fixture import document_reviews
+    from cuvee.plans.fixture import table
 
-    df = TermCounter(inputCols=["description"]).transform(document_reviews(spark, sf_dir))
+    documents = table(spark, sf_dir, "documents").selectExpr("doc_id AS row_id", "text AS description")
+    df = TermCounter(inputCols=["description"]).transform(documents)
     model = TermWeights(inputCols=["description"]).fit(df)
     plan = model.packed(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
