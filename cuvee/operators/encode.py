@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuvee.operators.profile import value_counts_all
-from cuvee.operators.scale import attach, exact_medians, fits_broadcast, ordered_index
+from cuvee.operators.scale import attach, attach_columns, exact_medians, ordered_index, small_columns
 from cuvee.operators.stages import ParamEstimator, TableModel
 from cuvee.runtime import materialize
 from cuvee.schema import KEY, LABEL, POOLED
@@ -61,7 +61,7 @@ class TargetMeanEncoder(ParamEstimator):
         means = materialize(target_mean_table(df, self.inputs, label, self.get("minCount")), "target-means")
         fallback = self.get("unknownValue") if self.isDefined(self.unknownValue) else df.agg(F.avg(label)).first()[0]
         return TargetMeanEncoderModel().of(
-            self, state={"fallback": fallback, "small": fits_broadcast(means)}, means=means
+            self, state={"fallback": fallback, "small": small_columns(means)}, means=means
         )
 
 
@@ -77,21 +77,21 @@ class TargetMeanEncoderModel(TableModel):
         return [f"{c}_avg_{self.get('labelCol')}" for c in self.inputs]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        means, fallback = self.tables["means"], F.lit(self.state["fallback"])
-        for c, out in zip(self.inputs, self.outputs):
-            lookup = means.where(F.col("column") == c).select(F.col("value").alias(c), F.col("mean").alias(out))
-            df = attach(df, lookup, [c], [self.get("keyCol")], small=self.state["small"])
-            df = df.withColumn(out, F.coalesce(out, fallback))
-        return df
+        fallback = F.lit(self.state["fallback"])
+        means = self.tables["means"].select("column", "value", "mean")
+        joined = attach_columns(df, means, self.inputs, [self.get("keyCol")], self.state["small"])
+        encoded = [F.coalesce(f"_x_{c}", fallback).alias(out) for c, out in zip(self.inputs, self.outputs)]
+        return joined.select(*df.columns, *encoded)
 
 
-def _pool(df: DataFrame, kept: DataFrame, columns: dict[str, str], pooled: str, key: str, small: bool) -> DataFrame:
+def _pool(
+    df: DataFrame, kept: DataFrame, columns: dict[str, str], pooled: str, key: str, small: dict[str, bool]
+) -> DataFrame:
     """Replace values that are not in ``kept(column, value)``; ``columns`` maps input to output names."""
-    for c, out in columns.items():
-        lookup = kept.where(F.col("column") == c).select(F.col("value").alias(c), F.lit(True).alias("_kept"))
-        df = attach(df, lookup, [c], [key], small=small)
-        df = df.withColumn(out, F.when(F.col("_kept"), F.col(c)).otherwise(pooled)).drop("_kept")
-    return df
+    marked = kept.select("column", "value", F.lit(True).alias("kept"))
+    joined = attach_columns(df, marked, list(columns), [key], small)
+    outputs = {out: F.when(F.col(f"_x_{c}"), F.col(c)).otherwise(pooled) for c, out in columns.items()}
+    return joined.withColumns(outputs).drop(*[f"_x_{c}" for c in columns])
 
 
 def _frequent(df: DataFrame, min_counts: dict[str, int]) -> DataFrame:
@@ -107,7 +107,7 @@ def pool_rare(df: DataFrame, min_counts: dict[str, int], pooled: str = POOLED, k
     from a window per column, whose largest value would have to pass through one task.
     """
     kept = materialize(_frequent(df, min_counts), "frequent")
-    return _pool(df, kept, {c: c for c in min_counts}, pooled, key, fits_broadcast(kept))
+    return _pool(df, kept, {c: c for c in min_counts}, pooled, key, small_columns(kept))
 
 
 class RareCategoryPooler(ParamEstimator):
@@ -124,7 +124,7 @@ class RareCategoryPooler(ParamEstimator):
 
     def _fit(self, df: DataFrame) -> "RareCategoryPoolerModel":
         kept = materialize(_frequent(df, dict(zip(self.inputs, self.get("minCounts")))), "frequent")
-        return RareCategoryPoolerModel().of(self, state={"small": fits_broadcast(kept)}, kept=kept)
+        return RareCategoryPoolerModel().of(self, state={"small": small_columns(kept)}, kept=kept)
 
 
 class RareCategoryPoolerModel(TableModel):
@@ -137,7 +137,7 @@ class RareCategoryPoolerModel(TableModel):
         kept, small = self.tables["kept"], self.state["small"]
         if self.get("perTable"):
             kept = materialize(_frequent(df, dict(zip(self.inputs, self.get("minCounts")))), "frequent")
-            small = fits_broadcast(kept)
+            small = small_columns(kept)
         columns = dict(zip(self.inputs, outputs))
         return _pool(df, kept, columns, self.get("pooledValue"), self.get("keyCol"), small)
 

@@ -1,6 +1,7 @@
 """Building blocks that keep their cost bounded when one key holds a large share of the rows.
 
 ``attach``          left join to a lookup table, broadcast only when measured small, hot keys split off otherwise
+``attach_columns``  the same for several columns and one long lookup table
 ``ordered_index``   0-based position in a sort order without a single-task window
 ``exact_medians``   exact medians by narrowing a bucket count, never by gathering the values
 """
@@ -40,6 +41,14 @@ def fits_broadcast(table: DataFrame, limit: int | None = None) -> bool:
     return table_bytes(table) <= (BROADCAST_BYTES if limit is None else limit)
 
 
+def hot_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The keys of ``rows`` with more than 1/HOT_PARTS of its rows, from partial counts."""
+    total = rows.count()
+    keyed = rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]))
+    counts = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    return materialize(counts.where(F.col("_n") * HOT_PARTS > total).drop("_n"), "hot-keys")
+
+
 def attach(
     rows: DataFrame,
     lookup: DataFrame,
@@ -47,6 +56,7 @@ def attach(
     spread: Sequence[str],
     *,
     small: bool | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``rows`` to ``lookup`` (unique on ``on``), keeping every row.
 
@@ -54,7 +64,7 @@ def attach(
     is too large to broadcast is joined by shuffle, but the hot keys of ``rows`` are first taken out: fewer than
     ``HOT_PARTS`` keys can be hot, so their part of the lookup is broadcast, and hot and null keyed rows are spread
     over ``SPREAD`` salts by the hash of the ``spread`` columns. No task then gets more than 1/HOT_PARTS of the rows
-    for one key.
+    for one key. ``hot`` is the outcome of an earlier ``hot_keys`` over the same rows.
     """
     on = list(on)
     if small is None:
@@ -63,23 +73,14 @@ def attach(
     if small:
         return rows.join(F.broadcast(lookup), on, "left").select(*rows.columns, *values)
 
-    total = rows.count()
-    hot_keys = (
-        rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]))
-        .groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") * HOT_PARTS > total)
-        .drop("_n")
-    )
-    hot = materialize(
-        hot_keys.join(lookup, on, "left").select(
-            *on, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values]
-        ),
-        "hot-keys",
+    if hot is None:
+        hot = hot_keys(rows, on)
+    known = hot.join(lookup, on, "left").select(
+        *on, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values]
     )
     anywhere = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(SPREAD)) + 1
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    salted = rows.join(F.broadcast(hot), on, "left").withColumn(
+    salted = rows.join(F.broadcast(known), on, "left").withColumn(
         "_salt", F.when(F.col("_hot") | no_key, anywhere).otherwise(F.lit(0).cast("long"))
     )
     joined = salted.join(lookup.withColumn("_salt", F.lit(0).cast("long")), [*on, "_salt"], "left")
@@ -89,6 +90,35 @@ def attach(
     )
 
 
+def attach_columns(
+    rows: DataFrame, lookup: DataFrame, columns: Sequence[str], spread: Sequence[str], small: Mapping[str, bool]
+) -> DataFrame:
+    """``attach`` for a long lookup (column, value, x): adds ``x`` of the value of each column as ``_x_<column>``.
+
+    Columns with a small part in the lookup are broadcast. The hot values of the others are found on the input, in
+    one job for all of them, so that no join is run again to look at its result.
+    """
+    large = [c for c in columns if not small.get(c, True)]
+    hot = None
+    if large:
+        values = rows.select(*[F.col(c).cast("string").alias(c) for c in large]).unpivot([], large, "column", "value")
+        counts = values.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        hot = materialize(counts.where(F.col("n") * HOT_PARTS > rows.count()), "hot-keys")
+    x = next(c for c in lookup.columns if c not in ("column", "value"))
+    for c in columns:
+        own = lookup.where(F.col("column") == c).select(F.col("value").alias(c), F.col(x).alias(f"_x_{c}"))
+        own_hot = hot.where(F.col("column") == c).select(F.col("value").alias(c)) if c in large else None
+        rows = attach(rows, own, [c], spread, small=c not in large, hot=own_hot)
+    return rows
+
+
+def small_columns(lookup: DataFrame, limit: int | None = None) -> dict[str, bool]:
+    """For each column of a long lookup (column, value, ...): whether its part may be broadcast."""
+    limit = BROADCAST_BYTES if limit is None else limit
+    size = F.sum(F.octet_length("value").cast("long") + 48).alias("size")
+    return {r["column"]: r["size"] <= limit for r in lookup.groupBy("column").agg(size).collect()}
+
+
 def ordered_index(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Add the 0-based position of each row in the order of the ``order`` columns (which must be unique).
 
