@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuvee.llm import near_dups, queries, toxicity
+from cuvee.llm import decontaminate, near_dups, packing, queries, secret_scan, toxicity
 from cuvee.llm.common import keep_columns
 from cuvee.runtime import materialize
 
@@ -30,7 +30,34 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return keep_columns(near_dups.one_row_per_id(docs), copies)
 
 
-STAGES = [("toxicity", drop_toxic), ("minhash_near_dedup", drop_near_duplicates)]
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
+    leaks = materialize(found.where(F.col("contaminated")).select("doc_id"), "leaks")
+    return keep_columns(docs, leaks)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The secrets of a text are masked, and its n_chars follows; every document stays."""
+    found = materialize(queries.secret_findings(spark, docs), "findings")
+    masked = secret_scan.redact(docs, found)
+    if "n_chars" in docs.columns and found.limit(1).count():
+        kind = dict(docs.dtypes)["n_chars"]
+        hidden = F.col("text").contains(secret_scan.Settings().mask)
+        masked = masked.withColumn("n_chars", F.when(hidden, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return masked.select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, queries.tokenizer_file())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_benchmark_leaks),
+    ("secret_scan", mask_secrets),
+    ("best_fit_packing", pack_sequences),
+]
 
 #: Training and tokenizers are beyond SQL; the tests hold the pipeline against brute force.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cuvee.llm import decontaminate, near_dups, packing, toxicity
+from cuvee.llm import decontaminate, near_dups, packing, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,20 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), near_dups.Settings(shingle_words=2))
 
 
+def secret_findings(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    settings = secret_scan.Settings()
+    words = secret_scan.dictionary(docs, settings.dictionary)
+    return secret_scan.find(docs, secret_scan.train(spark, words, settings), words, settings)
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The findings of all documents; the value itself only as a digest."""
+    found = secret_findings(spark, table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"), "nth", "start", "length", "probability", F.sha2("value", 256).alias("value_sha256")
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
@@ -46,7 +60,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_minhash_near_dedup, op6_decontamination, op8_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_minhash_near_dedup, op4_secret_scan, op6_decontamination, op8_toxicity)}
 
 _SHINGLES = """
 words AS (SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
