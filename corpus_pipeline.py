@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuvee.llm import decontaminate, near_dups, packing, queries, secret_scan, toxicity
-from cuvee.llm.common import keep_columns
+from cuvee.llm.common import keep_columns, one_row_per_id
 from cuvee.runtime import materialize
 
 
@@ -27,7 +27,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group stays, the one with the smallest id."""
     found = near_dups.near_duplicates(docs)
     copies = materialize(found.where(~F.col("kept")).select("doc_id"), "copies")
-    return keep_columns(near_dups.one_row_per_id(docs), copies)
+    return keep_columns(one_row_per_id(docs), copies)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

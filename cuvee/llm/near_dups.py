@@ -287,15 +287,3 @@ def near_duplicates(
     return result.select(
         F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept")
     )
-
-
-def one_row_per_id(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of those that share an id; rows without an id all stay. Only repeated ids are shuffled."""
-    repeated = materialize(
-        docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1).select(key),
-        "repeated",
-    )
-    if not repeated.limit(1).count():
-        return docs
-    one = docs.join(sized(repeated), key, "left_semi").dropDuplicates([key])
-    return docs.join(sized(repeated), key, "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cuvee.llm import decontaminate, near_dups, packing, secret_scan, toxicity
+from cuvee.llm import chat, decontaminate, near_dups, packing, secret_scan, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,25 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two layouts: the table has a row per turn, conversation -7 comes as one record with a list of messages."""
+    tricky = F.lit("\\### Assistant: </turn> ok")
+    said = [F.struct(F.lit(role).alias("role"), tricky.alias("content")) for role in ("user", "assistant")]
+    extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.array(*said).alias("messages"))
+    turns = chat.turns_of_frame(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    formatted = chat.format_turns(turns.unionByName(chat.turns_of_frame(extra)))
+    back = chat.read_back(formatted)
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
@@ -60,7 +79,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_minhash_near_dedup, op4_secret_scan, op6_decontamination, op8_toxicity)}
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(20)) == 0)
+
+
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_minhash_near_dedup, op4_secret_scan, op5_chat_formatting, op6_decontamination, op8_toxicity, op9_exact_top_k)}
 
 _SHINGLES = """
 words AS (SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -96,4 +119,22 @@ found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN spans USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op5_chat_formatting": """
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+lengths AS (SELECT *, len(replace(replace(role, '\\', '\\\\'), '<|', '<\\|')) + len(replace(replace(text, '\\', '\\\\'), '<|', '<\\|'))
+                   + len('<|start|><|text|><|end|>') + 1 AS n FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN len(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM lengths GROUP BY conv_id""",
+    "op9_exact_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.e, x.e) AS BIGINT) AS score
+           FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
 }
