@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cuvee.llm import chat, decontaminate, near_dups, packing, secret_scan, topk, toxicity
+from cuvee.llm import chat, decontaminate, license_scan, near_dups, packing, pseudo_likelihood, secret_scan, token_counts, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = license_scan.scan(docs, license_scan.train(spark, docs))
+    return found.withColumnRenamed("key", "doc_id")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -73,6 +79,22 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document is counted, then edited in three places that follow from its own row, and counted on."""
+    n, source = F.length("text"), F.coalesce("source", F.lit(""))
+
+    def edit(start: Column, deleted: int, inserted: Column) -> Column:
+        return F.struct(start.cast("long").alias("start"), F.lit(deleted).cast("long").alias("deleted"), inserted.alias("inserted"))
+
+    edits = F.array(
+        edit(F.floor(n / 2), 3, source),
+        edit(F.lit(0), 0, F.concat(F.coalesce("lang", F.lit("")), F.lit(": "))),
+        edit(F.floor(n / 3), 40, F.lit("")),
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", edits.alias("edits"))
+    return token_counts.count_with_edits(docs, tokenizer_file()).withColumnRenamed("key", "doc_id")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs.select("doc_id", "text"), toxicity_model(spark, sf_dir, docs))
@@ -83,7 +105,18 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(20)) == 0)
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_minhash_near_dedup, op4_secret_scan, op5_chat_formatting, op6_decontamination, op8_toxicity, op9_exact_top_k)}
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pseudo_likelihood.score(docs, pseudo_likelihood.train(docs)).withColumnRenamed("key", "doc_id")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_license_scan, op2_best_fit_packing, op3_minhash_near_dedup, op4_secret_scan, op5_chat_formatting,
+        op6_decontamination, op7_token_counts, op8_toxicity, op9_exact_top_k, op10_lm_scoring,
+    )
+}
 
 _SHINGLES = """
 words AS (SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
