@@ -67,13 +67,18 @@ def _scores(q: np.ndarray, x: np.ndarray, dense: bool) -> np.ndarray:
         return q @ x.T if dense else np.einsum("ij,ij->i", q, x)
     q, x = (np.array([[int(c) for c in row] for row in m], dtype=object).reshape(m.shape) for m in (q, x))
     exact = q.dot(x.T) if dense else (q * x).sum(1)
-    return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
+    return np.clip(exact, 1 - 2**63, 2**63 - 1).astype(np.int64)
 
 
 def best_of_block(
     query_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, settings: Settings
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query ids, ids, scores) of the k best of ``x`` for each query among those with a score of ``floor`` at least."""
+    with np.errstate(over="ignore", invalid="ignore"):  # a bound beyond the range of doubles rules nothing out
+        return _best(query_ids, q, floor, ids, x, settings)
+
+
+def _best(query_ids, q, floor, ids, x, settings):
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
     of_x = [statistics(x, s) for s in settings.levels]
@@ -86,12 +91,12 @@ def best_of_block(
             of_q = statistics(part, segments)
             if rows is None:
                 bound = of_q @ right.T
-                left &= bound + 1e-9 * np.abs(bound) + 1e-6 >= least[:, None]
+                left &= ~(bound + 1e-9 * np.abs(bound) + 1e-6 < least[:, None])
                 if left.mean() < 0.1:
                     rows, cols = np.nonzero(left)
             else:
                 bound = np.einsum("ij,ij->i", of_q[rows], right[cols])
-                keep = bound + 1e-9 * np.abs(bound) + 1e-6 >= least[rows]
+                keep = ~(bound + 1e-9 * np.abs(bound) + 1e-6 < least[rows])
                 rows, cols = rows[keep], cols[keep]
         if rows is None:
             scores = _scores(part, x, dense=True)
@@ -131,7 +136,8 @@ def search(vectors: DataFrame, is_query: Column, settings: Settings = Settings()
         return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
 
     asking = rows.where("asks").select("vec_id", "v", "dim", block(q_blocks, 1).alias("qb"))
-    offered = rows.select("vec_id", "v", "dim", block(c_blocks, 2).alias("cb"))
+    # Columns of their own, since a table met with itself would leave open which side is meant.
+    offered = rows.select(*[F.col(c).alias(c) for c in ("vec_id", "v", "dim")], block(c_blocks, 2).alias("cb"))
     cut = settings
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
