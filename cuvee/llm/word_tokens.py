@@ -10,10 +10,11 @@ from __future__ import annotations
 import os
 import threading
 from collections.abc import Callable
+from unicodedata import is_normalized
 
 import numpy as np
 
-_MEMORY = 400_000
+_MEMORY = 300_000
 _local: dict[str, ChunkEncoder] = {}
 _lock = threading.Lock()
 
@@ -28,20 +29,67 @@ class ChunkEncoder:
 
         self._tokenizer = Tokenizer.from_file(file)
         self._known: dict[str, bytes] = {"": b""}
+        # A tokenizer that lowers itself gives a text and its lower case the same ids.
+        self._lowers = self.whole("ABC Abc") == self.whole("abc abc")
+        # Tokens that end a word, for vocabularies that mark them.
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, chunks: list[str]) -> None:
+        for at in range(0, len(chunks), 10_000):
+            part = chunks[at : at + 10_000]
+            for chunk, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self._known[chunk] = np.array(found.ids, dtype="<u4").tobytes()
+
+    def _encode_words(self, words: list[str]) -> None:
+        """Lower-case words of letters only: each is one pre-token, so many are encoded as one text and told apart by their ends."""
+        for at in range(0, len(words), 20_000):
+            part = words[at : at + 20_000]
+            ids = np.array(self._tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(self._ends[ids]) + 1
+            if len(cuts) != len(part):
+                self._encode(part)
+                continue
+            data, begin = ids.tobytes(), 0
+            for word, end in zip(part, (4 * cuts).tolist(), strict=True):
+                self._known[word] = data[begin:end]
+                begin = end
+
+    def _learn(self, chunks: list[str], lowered: bool) -> None:
+        if not lowered or not self._ends.any():
+            self._encode(chunks)
+            return
+        words, marked, others = set(), [], []
+        for chunk in chunks:
+            if chunk.isalpha():
+                words.add(chunk)
+            elif chunk[-1] in ".," and chunk[:-1].isalpha():
+                marked.append(chunk)
+                if chunk[:-1] not in self._known:
+                    words.add(chunk[:-1])
+            else:
+                others.append(chunk)
+        self._encode_words(list(words))
+        self._encode([*others, *(m for m in ".," if m not in self._known)])
+        for chunk in marked:
+            self._known[chunk] = self._known[chunk[:-1]] + self._known[chunk[-1]]
 
     def ids(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit numbers."""
-        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        # Lowering first makes fewer chunks. Where it might not commute with the tokenizer's own steps the text stays as it is.
+        low = text.lower() if self._lowers else text
+        lowered = self._lowers and (
+            text.isascii() or ("\u03a3" not in text and is_normalized("NFC", text) and is_normalized("NFC", low))
+        )
+        chunks = (low if lowered else text).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         known = self._known
         missing = [c for c in set(chunks) if c not in known]
         if missing:
             if len(known) + len(missing) > _MEMORY:
                 known = self._known = {"": b""}
                 missing = [c for c in set(chunks) if c]
-            for at in range(0, len(missing), 10_000):
-                part = missing[at : at + 10_000]
-                for chunk, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    known[chunk] = np.array(found.ids, dtype="<u4").tobytes()
+            self._learn(missing, lowered)
         return b"".join(map(known.__getitem__, chunks))
 
     def whole(self, text: str) -> bytes:
