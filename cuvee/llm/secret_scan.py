@@ -162,7 +162,9 @@ def labelled_findings(spark: SparkSession, words: list[str], n: int) -> DataFram
 
 
 def train(spark: SparkSession, words: list[str], settings: Settings = Settings()) -> PipelineModel:
-    rows = features(labelled_findings(spark, words, settings.findings), words).repartitionByRange(4, "value", "before").sortWithinPartitions("value", "before")
+    rows = features(labelled_findings(spark, words, settings.findings), words)
+    # One task in a fixed order, so that the forest is the same on any cluster; ``findings`` bounds it.
+    rows = rows.repartition(1).sortWithinPartitions("value", "before", "after")
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=settings.trees, maxDepth=settings.depth, seed=settings.seed
     )

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from cuvee.llm import secret_scan as ss
@@ -47,13 +49,13 @@ def test_held_out_findings(spark, parts):
     assert sum(r.label == r.prediction for r in held) / len(held) > 0.97
 
 
-def test_all_tokens_of_the_documents(spark, sf_dir, parts):
+def test_all_tokens_of_the_documents(spark, parts):
     words, model = parts
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     wanted = {
         (d.doc_id, m.start(1))
         for d in docs.collect()
-        for m in __import__("re").finditer(r'(?i)token = "([0-9a-f]{40})"', d.text)
+        for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', d.text)
     }
     assert {(r.key, r.start) for r in ss.find(docs, model, words).collect()} == wanted and wanted
 
