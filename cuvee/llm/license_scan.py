@@ -23,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cuvee.functions.text import let
 from cuvee.runtime import materialize
 
 UNKNOWN = "unknown"
@@ -113,18 +114,24 @@ def words(paragraph: Column) -> Column:
 
 def pairs(w: Column) -> Column:
     """Two-word runs; the only word of a paragraph of one."""
-    run = F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1)))
+    run = let(w, lambda x: F.transform(F.slice(x, F.lit(1), F.greatest(F.size(x) - 1, F.lit(0))), lambda a, i: F.concat_ws(" ", a, F.get(x, i + 1))))
     return F.when(F.size(w) > 1, run).otherwise(w)
 
 
+def grams(w: Column) -> Column:
+    return let(w, lambda x: F.concat(x, pairs(x)))
+
+
 def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, paragraph, w) of the lines with words, numbered from 0 with all lines."""
     lines = docs.select(F.col(key).alias("key"), F.posexplode(F.split(F.col(text).cast("string"), "\n")).alias("paragraph", "line"))
-    return lines.select("key", "paragraph", words(F.col("line")).alias("w")).where(F.size("w") > 0)
+    return _once(lines, ["key", "paragraph"], w=words(F.col("line"))).where(F.size("w") > 0)
 
 
-def _with_grams(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("pairs", pairs(F.col("w"))).withColumn("grams", F.concat("w", "pairs"))
+def _once(rows: DataFrame, keep: list[str], **made: Column) -> DataFrame:
+    """``rows`` with new columns that are worked out once, wherever later steps use them: an explode of one element."""
+    one = F.array(F.struct(*[c.alias(n) for n, c in made.items()]))
+    return rows.select(*keep, F.explode(one).alias("_made")).select(*keep, "_made.*")
 
 
 def notice_words(notice: str) -> list[str]:
@@ -162,13 +169,13 @@ def training_rows(spark: SparkSession, docs: DataFrame, settings: Settings) -> D
     total = docs.count()
     every = max(1, total // settings.documents)
     chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).limit(2 * settings.documents)
-    shared = F.size(F.array_intersect(pairs(F.col("w")), known))
+    shared = F.size(F.array_intersect(pairs(F.col("w")), known))  # no notices among the unknown
     negative = paragraphs(chosen).where(shared * 3 < F.size("w")).select(F.lit(0).alias("label"), "w").distinct()
     return positive.unionByName(negative)
 
 
 def train(spark: SparkSession, docs: DataFrame, settings: Settings = Settings()) -> LicenseModel:
-    rows = _with_grams(materialize(training_rows(spark, docs, settings), "license-rows"))
+    rows = materialize(training_rows(spark, docs, settings).withColumn("grams", grams(F.col("w"))), "license-rows")
     rows = rows.withColumn("label", F.col("label").cast("double")).withColumn("held", F.pmod(F.xxhash64("w"), F.lit(5)) == 0)
     fit, held = rows.where(~F.col("held")), rows.where("held")
     terms = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=settings.vocabulary, binary=True).fit(fit)
@@ -185,27 +192,29 @@ def train(spark: SparkSession, docs: DataFrame, settings: Settings = Settings())
 
 
 def _softmax(raw: Column, temperature: float) -> Column:
-    powers = F.transform(raw, lambda z: F.exp((z - F.array_max(raw)) / temperature))
-    return F.transform(powers, lambda p: p / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+    def shares(z: Column) -> Column:
+        powers = let(F.array_max(z), lambda top: F.transform(z, lambda x: F.exp((x - top) / temperature)))
+        return let(powers, lambda p: let(F.aggregate(p, F.lit(0.0), lambda a, b: a + b), lambda total: F.transform(p, lambda x: x / total)))
+
+    return let(raw, shares)
 
 
 def scan(docs: DataFrame, model: LicenseModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, paragraph, family, probability, similarity, confirmed) of the paragraphs that the model gives a family."""
-    rows = _with_grams(paragraphs(docs, key, text))
-    judged = model.regression.transform(model.terms.transform(rows)).where(F.col("prediction") > 0)
-    family = F.element_at(F.array(*[F.lit(f) for f in FAMILIES]), F.col("prediction").cast("int") + 1)
-    sure = judged.select(
-        "key", "paragraph", "pairs", family.alias("family"),
-        F.get(_softmax(vector_to_array("rawPrediction"), model.temperature), F.col("prediction").cast("int")).alias("probability"),
-    ).where(F.col("probability") >= model.threshold)
+    rows = _once(paragraphs(docs, key, text), ["key", "paragraph", "w"], grams=grams(F.col("w")))
+    judged = model.regression.transform(model.terms.transform(rows))
+    judged = _once(judged, ["key", "paragraph", "w"], raw=vector_to_array("rawPrediction"))
+    # The family with the largest raw value; the first is the unknown class.
+    best = F.array_position("raw", F.array_max("raw")).cast("int")
+    named = _once(judged.where(best > 1), ["key", "paragraph", "w"], best=best, shares=_softmax(F.col("raw"), model.temperature))
+    sure = _once(
+        named.where(F.get("shares", F.col("best") - 1) >= model.threshold), ["key", "paragraph"],
+        family=F.element_at(_literals(FAMILIES), F.col("best")), probability=F.get("shares", F.col("best") - 1), own=F.array_distinct(pairs(F.col("w"))),
+    )
     similarity = F.lit(None).cast("double")
     for name, texts in NOTICES.items():
-        own = [
-            F.size(F.array_intersect("pairs", _literals(of))) / F.least(F.size(F.array_distinct("pairs")), F.lit(len(of)))
-            for of in map(notice_pairs, texts)
-        ]
-        similarity = F.when(F.col("family") == name, F.greatest(*own) if len(own) > 1 else own[0]).otherwise(similarity)
+        of = [F.size(F.array_intersect("own", _literals(p))) / F.least(F.size("own"), F.lit(len(p))) for p in map(notice_pairs, texts)]
+        similarity = F.when(F.col("family") == name, F.greatest(*of) if len(of) > 1 else of[0]).otherwise(similarity)
     return sure.withColumn("similarity", similarity).select(
         "key", "paragraph", "family", "probability", "similarity", (F.col("similarity") >= model.settings.similarity).alias("confirmed")
     )
-
