@@ -22,7 +22,9 @@ def fold(c: Column) -> Column:
     """Latin letters to ASCII. A text with as many bytes as characters is ASCII already and passes as it is."""
     one = F.translate(c, words.FOLD_FROM, words.FOLD_TO)
     folded = reduce(lambda x, m: F.replace(x, F.lit(m[0]), F.lit(m[1])), words.FOLD_MANY.items(), one)
-    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(folded)
+    # One look for what has a longer spelling spares most texts the replacements.
+    longer = F.when(one.rlike("[" + "".join(words.FOLD_MANY) + "]"), folded).otherwise(one)
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(longer)
 
 
 def normalize_category(c: Column, missing: str = MISSING) -> Column:

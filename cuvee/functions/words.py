@@ -47,14 +47,21 @@ CSV_MISSING = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null",
 ]
 
-# Letters and marks whose ASCII spelling is not their base letter.
+# Letters, marks and symbols whose ASCII spelling is not their base letter.
 FOLD_MANY = {
-    "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "Th", "—": "--", "…": "...",
-    "«": "<<", "»": ">>",
+    "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "Th",
+    "¢": "C/", "£": "PS", "¤": "$?", "¥": "Y=", "§": "SS", "©": "(c)", "«": "<<", "®": "(r)", "°": "deg", "±": "+-",
+    "»": ">>", "¼": "1/4", "½": "1/2", "¾": "3/4",
+    "—": "--", "―": "--", "‖": "||", "„": ",,", "‡": "++", "‣": "*>", "‥": "..", "…": "...", "‰": "%0",
+    "″": "''", "‴": "\'\'\'", "‼": "!!", "€": "EUR", "™": "(tm)",
 }
 FOLD_ONE = {
     "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ħ": "h", "Ħ": "H", "ı": "i",
-    "ł": "l", "Ł": "L", "ŧ": "t", "Ŧ": "T", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "\u00a0": " ",
+    "ł": "l", "Ł": "L", "ŧ": "t", "Ŧ": "T",
+    "\u00a0": " ", "¡": "!", "¦": "|", "¨": '"', "ª": "a", "¬": "!", "¯": "-", "²": "2", "³": "3", "´": "'", "µ": "u",
+    "¶": "P", "·": "*", "¸": ",", "¹": "1", "º": "o", "¿": "?", "×": "x", "÷": "/",
+    "‐": "-", "‑": "-", "‒": "-", "–": "-", "‗": "_", "‘": "'", "’": "'", "‚": ",", "‛": "'", "“": '"', "”": '"', "‟": '"',
+    "†": "+", "•": "*", "․": ".", "‧": ".", "\u202f": " ", "′": "'", "‹": "<", "›": ">", "⁄": "/", "\u205f": " ",
 }
 
 
@@ -67,7 +74,10 @@ def _fold_table() -> tuple[str, str]:
         if len(base) == 1 and base.isascii():
             source.append(letter)
             target.append(base)
-    source.extend(chr(code) for code in range(0x0300, 0x0370))
+    # Blanks of other widths; marks and invisible characters have no spelling and are dropped.
+    source.extend(chr(code) for code in range(0x2000, 0x200B))
+    target.extend(" " * (0x200B - 0x2000))
+    source.extend(chr(code) for code in [0x00AD, *range(0x200B, 0x2010), *range(0x0300, 0x0370)])
     return "".join(source), "".join(target)
 
 

@@ -64,6 +64,10 @@ class StageMemo:
             self._fitted[depends_on] = make()
         return self._fitted[depends_on]
 
+    def tables(self) -> list[DataFrame]:
+        """The stored tables among what was fitted."""
+        return [x for x in self._fitted.values() if isinstance(x, DataFrame)]
+
 
 def count_terms(df: DataFrame, settings: FeatureSettings) -> DataFrame:
     """Add the term counts, which no training depends on."""
@@ -82,7 +86,7 @@ def fit_features(
     roles = settings.roles
     key, label, cats = roles.key, roles.label, roles.categorical
 
-    min_counts = [settings.pool_min_count_winery if c == "winery" else settings.pool_min_count for c in cats]
+    min_counts = [settings.pool_min_count_winery if c == roles.sparse else settings.pool_min_count for c in cats]
     pooled = [f"{c}_pooled" for c in cats]
 
     def fit_median():
@@ -153,7 +157,7 @@ def apply_with_memo(
 
 def _feature_rows(df: DataFrame, settings: FeatureSettings, *keep: str) -> DataFrame:
     label = F.col(settings.roles.label).cast("double").alias("label")
-    return df.select(settings.roles.key, label, F.col("price_imputed").alias("price"), "features", *keep)
+    return df.select(settings.roles.key, label, F.col(f"{settings.roles.price}_imputed").alias("price"), "features", *keep)
 
 
 DICTIONARY_SCHEMA = T.StructType(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,19 +45,70 @@ def target_mean_table(df: DataFrame, columns: list[str], label: str = LABEL, min
     )
 
 
+def out_of_fold_means(
+    df: DataFrame, columns: dict[str, str], label: str, fold: str, min_count: int = 2, unknown: float | None = None, key: str = KEY
+) -> DataFrame:
+    """``df`` with an output per column: the mean label of the value over the rows of all other folds.
+
+    Values with fewer than ``min_count`` rows there, and nulls, get ``unknown``, by default the mean over all rows of the other
+    folds. One shuffle of partial sums per (column, value, fold); the sums of the other folds follow by subtraction.
+    """
+    names = list(columns)
+    long = df.select(F.col(label).cast("double").alias("_label"), F.col(fold).cast("long").alias("_fold"), *names)
+    own = (
+        long.unpivot(["_label", "_fold"], names, "column", "value").where(F.col("value").isNotNull())
+        .groupBy("column", "value", "_fold").agg(F.count(F.lit(1)).alias("n"), F.sum("_label").alias("s"))
+    )
+    own = materialize(own, "fold-sums")
+    every = own.groupBy("column", "value").agg(F.sum("n").alias("all_n"), F.sum("s").alias("all_s"))
+    rest = own.join(every, ["column", "value"]).where(F.col("all_n") - F.col("n") >= F.greatest(F.lit(min_count), F.lit(1)))
+    means = materialize(
+        rest.select(
+            "column", F.concat_ws(":", "_fold", "value").alias("value"),
+            ((F.col("all_s") - F.col("s")) / (F.col("all_n") - F.col("n"))).alias("mean"),
+        ),
+        "fold-means",
+    )
+    # A line per fold.
+    totals = {r["_fold"]: (r["n"], r["s"]) for r in long.groupBy("_fold").agg(F.count("_label").alias("n"), F.sum("_label").alias("s")).collect()}
+    n, s = sum(t[0] for t in totals.values()), sum(t[1] or 0.0 for t in totals.values())
+    fallback = F.lit(unknown)
+    if unknown is None:
+        for at, (own_n, own_s) in totals.items():
+            mean = (s - (own_s or 0.0)) / (n - own_n) if n > own_n else None
+            fallback = F.when(F.col(fold).eqNullSafe(F.lit(at)), F.lit(mean)).otherwise(fallback)
+    marked = {c: f"_in_fold_{c}" for c in names}
+    rows = df.withColumns({m: F.when(F.col(c).isNotNull(), F.concat_ws(":", F.col(fold).cast("long"), F.col(c))) for c, m in marked.items()})
+    lookup = reduce(DataFrame.unionAll, [means.where(F.col("column") == c).withColumn("column", F.lit(m)) for c, m in marked.items()])
+    joined = attach_columns(rows, lookup, list(marked.values()), [key], small_columns(lookup))
+    return joined.select(*df.columns, *[F.coalesce(f"_x_{m}", fallback).alias(columns[c]) for c, m in marked.items()])
+
+
 class TargetMeanEncoder(ParamEstimator):
     """Each category becomes the mean training label of its value.
 
     Values with fewer than ``minCount`` training rows, unseen values and nulls get ``unknownValue``, by default the
-    mean over all training rows. The means are taken on the training rows themselves, not out of fold.
+    mean over all training rows. The means are taken on the training rows themselves. With ``foldCol``, ``encode_training``
+    gives the training rows means of the other folds instead; ``transform`` stays as it is.
     """
 
     labelCol = Param(Params._dummy(), "labelCol", "label column", TypeConverters.toString)
     minCount = Param(Params._dummy(), "minCount", "fewest rows for a mean of its own", TypeConverters.toInt)
     unknownValue = Param(Params._dummy(), "unknownValue", "fallback; unset: overall mean", TypeConverters.toFloat)
     keyCol = Param(Params._dummy(), "keyCol", "row id column", TypeConverters.toString)
+    foldCol = Param(Params._dummy(), "foldCol", "fold column for out-of-fold means; unset: none", TypeConverters.toString)
     defaults = {"labelCol": LABEL, "minCount": 2, "keyCol": KEY}
 
+    def encode_training(self, df: DataFrame) -> DataFrame:
+        """The training rows, each encoded by the rows of the other folds; with no ``foldCol`` by all of them."""
+        if not self.isDefined(self.foldCol):
+            return self.fit(df).transform(df)
+        outputs = self.get("outputCols") if self.isDefined(self.outputCols) else [f"{c}_avg_{self.get('labelCol')}" for c in self.inputs]
+        unknown = self.get("unknownValue") if self.isDefined(self.unknownValue) else None
+        return out_of_fold_means(
+            df, dict(zip(self.inputs, outputs)), self.get("labelCol"), self.get("foldCol"), self.get("minCount"), unknown, self.get("keyCol")
+        )
+
     def _fit(self, df: DataFrame) -> "TargetMeanEncoderModel":
         label = self.get("labelCol")
         means = materialize(target_mean_table(df, self.inputs, label, self.get("minCount")), "target-means")

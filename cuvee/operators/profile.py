@@ -67,16 +67,16 @@ def profile_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins between the smallest and largest value, empty bins included.
 
-    Two passes over one column: the bounds, then one counter per bin.
+    Two passes over one column: the bounds, then one counter per bin. NaN is a missing value, as null is.
     """
-    x = F.col(column).cast("double")
+    x = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
     lo, hi = df.agg(F.min(x), F.max(x)).first()
     if lo is None:
         lo, hi = 0.0, 1.0
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     counted = (
-        df.where(F.col(column).isNotNull())
+        df.where(x.isNotNull())
         .groupBy(histogram_bin(x, lo, hi, bins).cast("long").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -9,10 +9,12 @@ from cuvee.operators.scale import ordered_index
 from cuvee.schema import KEY
 
 
-def split_prefix(df: DataFrame, fraction: float, key: str = KEY) -> DataFrame:
-    """Rows labelled 0 .. int(n * fraction) - 1 are the test set, all others the train set."""
-    test = int(df.count() * fraction)
-    return df.withColumn("split", F.when(F.col(key) < test, "test").otherwise("train"))
+def is_contiguous(df: DataFrame, key: str = KEY) -> bool:
+    """Whether the keys are 0 .. n - 1, each once. Without rows they are."""
+    n, low, high = df.agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
+    if n == 0:
+        return True
+    return low == 0 and high == n - 1 and df.select(key).distinct().count() == n
 
 
 def with_position(df: DataFrame, key: str = KEY, name: str = "position") -> DataFrame:
@@ -20,8 +22,23 @@ def with_position(df: DataFrame, key: str = KEY, name: str = "position") -> Data
     return ordered_index(df, [key], name)
 
 
-def _uniform(seed: int, *columns: str) -> Column:
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in columns])
+def positions(df: DataFrame, key: str = KEY, name: str = "_position") -> DataFrame:
+    """``df`` with its 0-based position by key: the key itself if it has no gaps, else the place in its order."""
+    return df.withColumn(name, F.col(key)) if is_contiguous(df, key) else with_position(df, key, name)
+
+
+def split_prefix(df: DataFrame, fraction: float, key: str = KEY) -> DataFrame:
+    """The first int(n * fraction) rows by key are the test set, all others the train set. With keys 0 .. n - 1 these are
+    the rows labelled 0 .. int(n * fraction) - 1."""
+    test = int(df.count() * fraction)
+    placed = positions(df, key)
+    return placed.withColumn("split", F.when(F.col("_position") < test, "test").otherwise("train")).drop("_position")
+
+
+def _uniform(seed: int, key: str) -> Column:
+    """A number below 2^60 from the seed and the key, the same in any engine: the start of the MD5 of ``seed:key``."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    return F.conv(F.left(digest, F.lit(15)), 16, 10).cast("long")
 
 
 def split_hash(df: DataFrame, fraction: float, seed: int, key: str = KEY) -> DataFrame:
@@ -44,4 +61,6 @@ def fold_of(position: Column, n: int, k: int) -> Column:
 
 
 def kfold(df: DataFrame, k: int, position: str = KEY) -> DataFrame:
-    return df.withColumn("fold", fold_of(F.col(position), df.count(), k))
+    """Contiguous folds by key; keys with gaps are numbered in their order first."""
+    n = df.count()
+    return positions(df, position).withColumn("fold", fold_of(F.col("_position"), n, k)).drop("_position")

@@ -47,18 +47,27 @@ def _stem_batch(terms: pd.Series) -> pd.Series:
 
 
 def normalize_descriptions(df: DataFrame, column: str = "description", key: str = KEY) -> DataFrame:
-    """(key, column): folded, without stop words, stemmed, words joined by a blank; empty if no word is left."""
-    words = materialize(df.select(key, text.content_words(F.col(column)).alias("_words")), "words")
+    """(key, column): folded, without stop words, stemmed, words joined by a blank; empty if no word is left.
+
+    One row per row of ``df``: rows are told apart by a number given when their words are stored, so that rows that share a
+    key, or have none, keep their own words.
+    """
+    worded = df.select(F.col(key).alias("_key"), text.content_words(F.col(column)).alias("_words"))
+    words = materialize(worded.withColumn("_row", F.monotonically_increasing_id()), "words")
+    return join_stems(words).select(F.col("_key").alias(key), F.col("_text").alias(column))
+
+
+def join_stems(words: DataFrame) -> DataFrame:
+    """The stored ``words`` (_row, _words, ...) with ``_text``: the stems joined by a blank, in place of the words."""
     stems = materialize(stem_table(words, "_words"), "stems")
-    placed = words.repartition(key).select(key, F.posexplode_outer("_words").alias("_pos", "term"))
-    stemmed = attach(placed, stems, ["term"], [key, "_pos"])
+    placed = words.select("_row", "_words").repartition("_row").select("_row", F.posexplode_outer("_words").alias("_pos", "term"))
+    stemmed = attach(placed, stems, ["term"], ["_row", "_pos"])
     word = F.coalesce("stem", "term")
     in_order = F.sort_array(F.collect_list(F.when(F.col("term").isNotNull(), F.struct("_pos", word.alias("word")))))
-    return (
-        stemmed.groupBy(key)
-        .agg(in_order.alias("_words"))
-        .select(key, F.array_join(F.transform("_words", lambda w: w["word"]), " ").alias(column))
+    texts = stemmed.groupBy("_row").agg(in_order.alias("_stems")).select(
+        "_row", F.array_join(F.transform("_stems", lambda w: w["word"]), " ").alias("_text")
     )
+    return words.drop("_words").join(texts, "_row")
 
 
 class TermCounter(ParamTransformer):

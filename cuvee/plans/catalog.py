@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from cuvee.plans import rating
 from cuvee.plans.fixture import document_reviews, reviews, table
 from cuvee.runtime import materialize, new_path
 from cuvee.schema import KEY, LABEL, ROLES
-from cuvee.sources.reviews import read_reviews_csv, read_split, write_reviews_csv, write_split
+from cuvee.sources.reviews import malformed_reviews, read_reviews_csv, read_split, write_reviews_csv, write_split
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,7 @@ POOL_COUNTS = {
 }
 MEAN_MIN_COUNT = 190
 TEST_SIZE = 0.2
+SYMBOLS = "½ ° € © £ ¡ × • ™ – — “ ” ’ … ± ¿ ÷ º".split()
 SMALL = FeatureSettings(
     mean_min_count=100,
     pool_min_count=200,
@@ -93,18 +95,46 @@ def document_tokens(spark, sf_dir):
     return description_tokens(document_reviews(spark, sf_dir))
 
 
+def document_words(spark, sf_dir):
+    """The words of each document in order, as they are before stemming."""
+    kept = text.content_words(F.col("description"))
+    return document_reviews(spark, sf_dir).select(KEY, F.array_join(kept, " ").alias("words"))
+
+
 def document_normalized(spark, sf_dir):
     return normalize_descriptions(document_reviews(spark, sf_dir))
 
 
 def csv_scan(spark, sf_dir):
-    """The review table written as CSV and read back."""
-    raw = reviews(spark, sf_dir).withColumn("description", F.regexp_replace("description", r"\s+", " "))
+    """The review table written as CSV and read back, line breaks in the descriptions included."""
     path = new_path(spark, "reviews-csv")
-    write_reviews_csv(raw, path)
+    write_reviews_csv(reviews(spark, sf_dir), path)
     return read_reviews_csv(spark, path)
 
 
+def csv_malformed(spark, sf_dir):
+    """Reviews as lines of text, some with a cell too few or too many, with words for numbers, without an id."""
+    at = F.col("c_custkey")
+    cells = [
+        F.when(at % 7 == 1, "").otherwise(at.cast("string")), F.lit("Italy"), F.lit('"one, ""two"""'), F.lit("D"),
+        F.when(at % 5 == 1, "many").otherwise(F.lit("90")), F.when(at % 11 == 1, "1O").otherwise(F.lit("12.5")),
+        *[F.lit(x) for x in "P R S T @t".split()], F.col("c_name"), F.lit("V"),
+    ]
+    line = F.when(at % 3 == 1, F.concat_ws(",", *cells)).otherwise(F.concat_ws(",", *cells, F.lit("W")))
+    path = new_path(spark, "lines")
+    table(spark, sf_dir, "customer").select(F.when(at % 13 == 1, F.concat(line, F.lit(",X,Y"))).otherwise(line)).write.text(path)
+    sound = read_reviews_csv(spark, path, malformed="separate", header=False)
+    told = malformed_reviews(spark, path, header=False).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return told.unionAll(sound.agg(F.lit("sound").alias("reason"), F.count(F.lit(1)).alias("n")))
+
+
+def fold_symbols(spark, sf_dir):
+    """Part names with a symbol put in."""
+    symbols = F.array(*[F.lit(x) for x in SYMBOLS])
+    symbol = F.get(symbols, F.pmod("p_partkey", F.lit(len(SYMBOLS))).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.fold(F.concat("p_name", symbol, F.lit("é"))).alias("name"))
+
+
 # Profiles
 
 
@@ -140,6 +170,12 @@ def price_histogram(spark, sf_dir):
     return profile.histogram(reviews(spark, sf_dir, False).where(F.col("price") < 950), "price", 25)
 
 
+def histogram_nan(spark, sf_dir):
+    """Some values are NaN, some null: neither is counted nor moves an edge."""
+    value = F.when(F.col("event_id") % 11 == 0, F.lit(float("nan"))).when(F.col("event_id") % 13 != 0, F.col("value"))
+    return profile.histogram(table(spark, sf_dir, "events").select(value.alias("x")), "x", 10)
+
+
 def lineitem_histogram(spark, sf_dir):
     return profile.histogram(table(spark, sf_dir, "lineitem"), "l_extendedprice", 100)
 
@@ -163,13 +199,26 @@ def split_hash(spark, sf_dir):
 
 
 def sample_rows(spark, sf_dir):
-    return split.sample_rows(document_reviews(spark, sf_dir).select(KEY, "description"), 1000, seed=7)
+    return split.sample_rows(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 1000, seed=7, key="o_orderkey")
 
 
 def kfold_assign(spark, sf_dir):
     return split.kfold(reviews(spark, sf_dir, False).select(KEY), 7)
 
 
+def _with_gaps(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select((F.col("c_custkey") * 10 + 1000).alias(KEY))
+
+
+def split_gaps(spark, sf_dir):
+    """Row ids that begin at 1000 and leave out nine of ten."""
+    return split.split_prefix(_with_gaps(spark, sf_dir), TEST_SIZE)
+
+
+def kfold_gaps(spark, sf_dir):
+    return split.kfold(_with_gaps(spark, sf_dir), 7)
+
+
 def ordered_positions(spark, sf_dir):
     """Positions of rows whose ids have gaps: here the order of customers by name."""
     return split.with_position(table(spark, sf_dir, "customer").select("c_name"), "c_name")
@@ -210,6 +259,14 @@ def target_mean_encode(spark, sf_dir):
     return model.transform(test).select(KEY, *[F.round(c, 6).alias(c) for c in model.outputs])
 
 
+def target_mean_out_of_fold(spark, sf_dir):
+    train, _ = _prepared(spark, sf_dir)
+    folded = train.withColumn("fold", (F.col(KEY) % 5).cast("int"))
+    encoder = encode.TargetMeanEncoder(inputCols=["country", "winery"], minCount=20, foldCol="fold")
+    encoded = encoder.encode_training(folded)
+    return encoded.select(KEY, *[F.round(f"{c}_avg_{LABEL}", 6).alias(c) for c in ("country", "winery")])
+
+
 def label_mean_encode(spark, sf_dir):
     """A second target: mean quality of labelled documents by source and language, for all documents."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
@@ -355,8 +412,7 @@ def rfe_support(spark, sf_dir):
 
 def rfecv_scores(spark, sf_dir):
     _, train, _ = _features(spark, sf_dir)
-    first, n = train.agg(F.min(KEY), F.count(F.lit(1))).first()
-    folded = materialize(train.withColumn("fold", split.fold_of(F.col(KEY) - first, n, 3)), "folded")
+    folded = materialize(split.kfold(train, 3), "folded")
     return forest.elimination_scores(folded, forest.forest(trees=10, depth=5, seed=7), folds=3, step=0.5, smallest=10)
 
 
@@ -380,6 +436,53 @@ def pruned_error_summary(spark, sf_dir):
     return evaluate.error_summary(rating.predict(_pruned(spark, sf_dir).model, _features(spark, sf_dir)[2]))
 
 
+# Checks of the fitted models: properties that hold whatever the fit, as rows of (name, n)
+
+
+def _checks(spark, found: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame([(k, int(v)) for k, v in found.items()], "name string, n long")
+
+
+def topic_checks(spark, sf_dir):
+    """Texts with topics, weights below zero, weights off the optimum of their row, rounds in which the loss rises."""
+    model, counted = _document_topics(spark, sf_dir)
+    weights = materialize(model.weights(counted), "checked-weights")
+    below = weights.where(F.exists("w", lambda x: x.isNull() | F.isnan(x) | (x < 0))).count()
+    rises = sum(b > a * (1 + 1e-9) for x in model.state["losses"].values() for a, b in zip(x, x[1:]))
+    texts = weights.where(F.col("source") == "description").select(KEY).distinct().count()
+    return _checks(spark, {"texts": texts, "below zero": below, "rising rounds": rises})
+
+
+def feature_checks(spark, sf_dir):
+    """Rows of both sets, rows whose vector is not as wide as the dictionary, names given twice, values that are no numbers."""
+    model, train, test = _features(spark, sf_dir)
+    names = feature_dictionary(model)
+    width = names.count()
+    rows = materialize(train.unionByName(test).select(vector_to_array("features").alias("x")), "checked-features")
+    wrong = rows.where(F.size("x") != width).count()
+    bad = rows.where(F.exists("x", lambda v: v.isNull() | F.isnan(v))).count()
+    return _checks(
+        spark,
+        {"train": train.count(), "test": test.count(), "wrong width": wrong, "not a number": bad,
+         "names twice": width - names.select("feature_idx").distinct().count()},
+    )
+
+
+def forest_checks(spark, sf_dir):
+    """Predictions, those beyond the labels, features kept, support rows off the dictionary, ranks of the importance table."""
+    model, train, test = _features(spark, sf_dir)
+    pruned = _pruned(spark, sf_dir)
+    low, high = train.agg(F.min("label"), F.max("label")).first()
+    found = materialize(pruned.model.transform(test).select("prediction"), "checked-predictions")
+    support = pruned.support(spark)
+    top = forest.top_features(pruned.model, feature_dictionary(model), 20)
+    return _checks(
+        spark,
+        {"predictions": found.count(), "beyond the labels": found.where(~F.col("prediction").between(low, high)).count(),
+         "kept": support.where("kept").count(), "unnamed": support.count() - feature_dictionary(model).count(), "top": top.count()},
+    )
+
+
 # Evaluation, fed by the training mean of the winery
 
 
@@ -437,15 +540,16 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         normalize_categories, fold_documents, title_year, title_clean, title_geo_mismatch, implication_violations,
-        document_tokens, document_normalized, csv_scan,
+        document_tokens, document_words, document_normalized, csv_scan, csv_malformed, fold_symbols,
         profile_columns, value_counts_all, value_counts, year_counts, event_counts, points_histogram, price_histogram,
-        lineitem_histogram,
-        split_prefix, split_stored, split_hash, sample_rows, kfold_assign, ordered_positions,
-        impute_median, event_median, target_mean_table, target_mean_encode, label_mean_encode, lineitem_mean_encode,
+        lineitem_histogram, histogram_nan,
+        split_prefix, split_stored, split_hash, split_gaps, sample_rows, kfold_assign, kfold_gaps, ordered_positions,
+        impute_median, event_median, target_mean_table, target_mean_encode, target_mean_out_of_fold, label_mean_encode, lineitem_mean_encode,
         pool_rare, pool_rare_fitted, one_hot,
         tfidf_raw, tfidf_sublinear, topic_weights, topic_top_terms,
         assemble_features, feature_names, rf_predict, rfe_support, rfecv_scores, search_results,
         feature_importance_topk, top_topic_words, pruned_error_summary,
+        topic_checks, feature_checks, forest_checks,
         error_rows, error_bands, error_direction, error_summary, error_histogram, price_by_error_direction,
         bias_by_score, calibration_bins, axis_bounds,
     )

@@ -164,7 +164,17 @@ def viewed(label: bool) -> str:
 
 
 STOPPED = ", ".join(quoted(w) for w in [*STOP_WORDS, *PUNCTUATION, ""])
-CSV_REVIEWS = REVIEWS_SQL.replace("d.text AS", r"regexp_replace(d.text, '[ \t\n\r\f\x0b]+', ' ', 'g') AS")
+# How the symbols of the query are spelled, written out once more.
+SPELLED = {
+    "½": "1/2", "°": "deg", "€": "EUR", "©": "(c)", "£": "PS", "¡": "!", "×": "x", "•": "*", "™": "(tm)", "–": "-", "—": "--",
+    "“": '"', "”": '"', "’": "'", "…": "...", "±": "+-", "¿": "?", "÷": "/", "º": "o",
+}
+OUT_OF_FOLD = " ".join(
+    f""", {c}_o AS (SELECT {c} AS v, fold, sum(count(*)) OVER (PARTITION BY {c}) - count(*) AS n,
+                        sum(sum(points)) OVER (PARTITION BY {c}) - sum(points) AS s FROM f GROUP BY {c}, fold)"""
+    for c in ("country", "winery")
+)
+GAPS = "SELECT c_custkey * 10 + 1000 AS row_id FROM customer"
 
 ORACLE: dict[str, str] = {
     "normalize_categories": f"""WITH {R} SELECT row_id, {', '.join(f'{norm(c)} AS {c}' for c in [*CATS, 'designation'])}
@@ -180,7 +190,39 @@ SELECT * FROM g WHERE title_geo IS NOT NULL AND title_geo IS DISTINCT FROM provi
 SELECT count(*) FILTER (WHERE taster_name IS NULL AND taster_twitter_handle IS NOT NULL) AS violations FROM r""",
     "document_tokens": f"""WITH t AS (SELECT doc_id AS row_id, unnest({words(norm('text'))}) AS term FROM documents)
 SELECT row_id, term, CAST(count(*) AS INTEGER) AS n FROM t WHERE term NOT IN ({STOPPED}) GROUP BY ALL""",
-    "csv_scan": CSV_REVIEWS,
+    "document_words": f"""SELECT doc_id AS row_id, array_to_string(list_filter({words(norm('text'))}, lambda t: t NOT IN ({STOPPED})), ' ') AS words
+FROM documents""",
+    "csv_scan": REVIEWS_SQL,
+    "csv_malformed": """
+WITH c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 1 THEN 13 ELSE 14 END + CASE WHEN c_custkey % 13 = 1 THEN 2 ELSE 0 END AS cells
+           FROM customer),
+r AS (SELECT CASE WHEN cells <> 14 THEN 'wrong number of cells' WHEN k % 7 = 1 THEN 'no row id'
+                  WHEN k % 5 = 1 THEN 'points is no int' WHEN k % 11 = 1 THEN 'price is no double' ELSE 'sound' END AS reason FROM c)
+SELECT reason, count(*) AS n FROM r GROUP BY reason""",
+    "fold_symbols": f"""SELECT p_partkey, strip_accents(p_name) || [{', '.join(quoted(x) for x in SPELLED.values())}]
+    [CAST(p_partkey % {len(SPELLED)} AS INTEGER) + 1] || 'e' AS name FROM part""",
+    "histogram_nan": histogram(
+        "SELECT CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN CAST(value AS DOUBLE) END AS x FROM events", 10
+    ),
+    "split_hash": f"""WITH {R} SELECT row_id, CASE WHEN CAST('0x' || left(md5('7:' || row_id), 15) AS BIGINT) % 1000000 < 200000
+    THEN 'test' ELSE 'train' END AS split FROM r""",
+    "sample_rows": """SELECT o_orderkey, o_totalprice FROM orders
+ORDER BY CAST('0x' || left(md5('7:' || o_orderkey), 15) AS BIGINT), o_orderkey LIMIT 1000""",
+    "split_gaps": f"""WITH g AS ({GAPS})
+SELECT row_id, CASE WHEN row_number() OVER (ORDER BY row_id) <= floor(count(*) OVER () * {TEST_SIZE}) THEN 'test' ELSE 'train' END AS split FROM g""",
+    "kfold_gaps": f"WITH g AS ({GAPS}) SELECT row_id, CAST(ntile(7) OVER (ORDER BY row_id) - 1 AS INTEGER) AS fold FROM g",
+    "target_mean_out_of_fold": f"""WITH {SPLIT}, f AS (SELECT *, CAST(row_id % 5 AS INTEGER) AS fold FROM train)
+{OUT_OF_FOLD}, m AS (SELECT a.fold, (SELECT avg(points) FROM f WHERE f.fold <> a.fold) AS mean FROM (SELECT DISTINCT fold FROM f) a)
+SELECT f.row_id, round(CASE WHEN c.n >= 20 THEN c.s / c.n ELSE m.mean END, 6) AS country,
+       round(CASE WHEN w.n >= 20 THEN w.s / w.n ELSE m.mean END, 6) AS winery
+FROM f JOIN m USING (fold) LEFT JOIN country_o c ON c.v = f.country AND c.fold = f.fold LEFT JOIN winery_o w ON w.v = f.winery AND w.fold = f.fold""",
+    "topic_checks": """SELECT 'texts' AS name, count(*) AS n FROM documents
+UNION ALL SELECT 'below zero', 0 UNION ALL SELECT 'rising rounds', 0""",
+    "feature_checks": f"""SELECT 'train' AS name, count(*) - CAST(floor(count(*) * {TEST_SIZE}) AS BIGINT) AS n FROM orders
+UNION ALL SELECT 'test', CAST(floor(count(*) * {TEST_SIZE}) AS BIGINT) FROM orders
+UNION ALL SELECT 'wrong width', 0 UNION ALL SELECT 'not a number', 0 UNION ALL SELECT 'names twice', 0""",
+    "forest_checks": f"""SELECT 'predictions' AS name, CAST(floor(count(*) * {TEST_SIZE}) AS BIGINT) AS n FROM orders
+UNION ALL SELECT 'beyond the labels', 0 UNION ALL SELECT 'kept', 29 UNION ALL SELECT 'unnamed', 0 UNION ALL SELECT 'top', 20""",
     "profile_columns": f"""WITH {R}, v AS ({viewed(False)})
 SELECT "column", count(*) AS n_rows, count(*) - count(value) AS n_missing,
        count(DISTINCT value) + CASE WHEN count(*) > count(value) THEN 1 ELSE 0 END AS n_distinct

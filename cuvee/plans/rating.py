@@ -6,9 +6,10 @@ import os
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cuvee.functions.text import content_words
 from cuvee.operators import evaluate
 from cuvee.operators.assemble import (
     FeatureSettings,
@@ -20,6 +21,7 @@ from cuvee.operators.assemble import (
 )
 from cuvee.operators.clean import clean_titles, normalize_categories
 from cuvee.operators.forest import (
+    FIT_PARTITIONS,
     FOREST_VALUES,
     Elimination,
     eliminate,
@@ -30,8 +32,8 @@ from cuvee.operators.forest import (
     words_of_top_topics,
 )
 from cuvee.operators.profile import histogram
-from cuvee.operators.split import fold_of, split_prefix
-from cuvee.operators.text import normalize_descriptions
+from cuvee.operators.split import is_contiguous, kfold, with_position
+from cuvee.operators.text import join_stems
 from cuvee.runtime import materialize
 from cuvee.schema import KEY
 from cuvee.sources.features import (
@@ -44,13 +46,29 @@ from cuvee.sources.reviews import read_split, write_split
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """Cleaned reviews: the raw columns in normal form, plus ``year``."""
-    fields = clean_titles(normalize_categories(raw.drop("description")))
-    return fields.join(normalize_descriptions(raw), KEY)
+    """Cleaned reviews: the raw columns in normal form, plus ``year``. Every row of ``raw`` gives one row.
+
+    The short fields and the words of the description are stored once, with a number that tells rows apart.
+    """
+    fields = clean_titles(normalize_categories(raw))
+    worded = fields.withColumn("_words", content_words(F.col("description"))).drop("description")
+    words = materialize(worded.withColumn("_row", F.monotonically_increasing_id()), "cleaned")
+    return join_stems(words).withColumnRenamed("_text", "description").drop("_row")
 
 
 def prepare(raw: DataFrame, path: str, test_size: float = 0.2) -> None:
-    write_split(split_prefix(clean(raw), test_size), path)
+    """Clean, number and split the reviews, and store both sets.
+
+    Ids that aren't 0 .. n - 1, each once, are replaced by the place in their order, so that later steps find contiguous ids that
+    are unique; ``original_id`` keeps what they were. The count and the order are taken from the ids of the raw rows.
+    """
+    ids = raw.select(KEY)
+    n, contiguous = ids.count(), is_contiguous(ids)
+    cleaned = clean(raw).withColumn("original_id", F.col(KEY))
+    if not contiguous:
+        cleaned = with_position(cleaned.drop(KEY), "original_id", KEY)
+    split = F.when(F.col(KEY) < int(n * test_size), "test").otherwise("train")
+    write_split(cleaned.withColumn("split", split), path)
 
 
 @dataclass
@@ -61,10 +79,16 @@ class TrainedRating:
     elimination: Elimination
     settings: FeatureSettings
     results: DataFrame | None = None
+    #: (fold, n_features, mse) of the elimination by validation.
+    scores: DataFrame | None = None
 
     def save(self, path: str) -> None:
         self.features.write().overwrite().save(os.path.join(path, "features"))
         self.elimination.model.write().overwrite().save(os.path.join(path, "regressor"))
+        support = self.elimination.support(SparkSession.getActiveSession())
+        support.write.mode("overwrite").parquet(os.path.join(path, "support"))
+        if self.scores is not None:
+            self.scores.write.mode("overwrite").parquet(os.path.join(path, "elimination_scores"))
         if self.results is not None:
             write_search_results(self.results, os.path.join(path, "search_results"))
 
@@ -85,29 +109,36 @@ def train(
     step: float = 10,
     folds: int = 5,
     trees: int = 300,
-    depth: int = 12,
+    depth: int = 30,
     seed: int = 0,
     space: dict | None = None,
+    partitions: int = FIT_PARTITIONS,
+    max_bins: int = 32,
+    memory_mb: int = 256,
 ) -> TrainedRating:
-    """Fixed parameters and elimination to ``keep`` features, or a search and elimination by validation."""
+    """Fixed parameters and elimination to ``keep`` features, or a search and elimination by validation.
+
+    ``partitions`` is how many parts every forest is fitted on: a parameter, so that the forest doesn't depend on how the rows came.
+    ``memory_mb`` is what one pass of a fit may hold per task; with a wide vector more of it saves passes.
+    """
     settings = settings or FeatureSettings(seed=seed)
     chosen: dict = {"trees": trees}
     results = None
     if select_model:
-        results, best = search(train_set, settings, space, n_iter, folds, depth, seed)
+        results, best = search(train_set, settings, space, n_iter, folds, depth, seed, partitions=partitions)
         settings = settings.with_values({k: v for k, v in best.items() if k not in FOREST_VALUES})
         chosen.update({k: v for k, v in best.items() if k in FOREST_VALUES})
     counted = materialize(count_terms(train_set, settings).drop(*settings.roles.text), "train")
     features = fit_features(counted, settings)
     matrix = materialize(apply_features(features, counted, settings), "features")
-    regressor = forest(**chosen, depth=depth, seed=seed)
+    regressor = forest(**chosen, depth=depth, seed=seed, max_bins=max_bins, memory_mb=memory_mb)
+    scores = None
     if select_model:
-        first, n = matrix.agg(F.min(KEY), F.count(F.lit(1))).first()
-        folded = matrix.withColumn("fold", fold_of(F.col(KEY) - first, n, folds))
-        elimination, _ = eliminate_by_validation(folded, regressor, folds, step)
+        folded = materialize(kfold(matrix, folds), "folded")
+        elimination, scores = eliminate_by_validation(folded, regressor, folds, step, partitions)
     else:
-        elimination = eliminate(matrix, regressor, keep, step)
-    return TrainedRating(features, elimination, settings, results)
+        elimination = eliminate(matrix, regressor, keep, step, partitions=partitions)
+    return TrainedRating(features, elimination, settings, results, scores)
 
 
 def featurize(features: PipelineModel, split: DataFrame, settings: FeatureSettings, path: str) -> None:

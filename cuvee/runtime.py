@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import threading
@@ -22,7 +23,7 @@ def local_session(name: str = "cuvee", cpus: str | int = "*", partitions: int =
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
@@ -39,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(_CHECKPOINT, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {_CHECKPOINT} to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="cuvee-")
     spark.sparkContext.setCheckpointDir(made)
@@ -58,7 +59,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` returned, once nothing reads them any more; others are left alone."""
+    for df in tables:
+        path = getattr(df, "_stored_at", None)
+        if path:
+            sc = df.sparkSession.sparkContext
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -45,6 +45,9 @@ class Roles:
     text: list[str] = field(default_factory=lambda: ["designation", "description", "title"])
     key: str = KEY
     label: str = LABEL
+    #: The numeric column that the evaluation tables report, and the category with a pooling threshold of its own.
+    price: str = "price"
+    sparse: str = "winery"
 
     @property
     def needed(self) -> list[str]:

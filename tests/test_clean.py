@@ -90,3 +90,58 @@ def test_cleaning_is_built_in_expressions(spark, sf_dir):
     for query in (catalog.normalize_categories, catalog.title_clean, catalog.document_tokens):
         plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_csv_keeps_quoted_line_breaks_and_doubled_quotes(spark, folder):
+    from cuvee.schema import RAW_SCHEMA
+
+    raw = [(i, "Italy", f'line one\nline "two"\r\n\n{i}', None, 90, 1.5, None, None, None, None, None, "t", "v", "w") for i in range(20)]
+    write_reviews_csv(spark.createDataFrame(raw, RAW_SCHEMA).repartition(3), folder)
+    assert rows(read_reviews_csv(spark, folder)) == sorted(raw, key=repr)
+
+
+BROKEN = [
+    "0,Italy,d,,90,1.5,,,,,,t,v,w",
+    "1,Italy,d,,ninety,1.5,,,,,,t,v,w",
+    "2,Italy,d,,90,cheap,,,,,,t,v,w",
+    "x3,Italy,d,,90,1.5,,,,,,t,v,w",
+    ",Italy,d,,90,1.5,,,,,,t,v,w",
+    "5,Italy,d,,90,1.5",
+    "6,Italy,d,,90,1.5,,,,,,t,v,w,more",
+]
+
+
+def test_malformed_reviews_are_told_not_dropped(spark, folder):
+    import pathlib
+
+    import pytest
+
+    from cuvee.sources.reviews import malformed_reviews
+
+    path = pathlib.Path(folder, "broken.csv")
+    path.write_text("\n".join([",".join("abcdefghijklmn"), *BROKEN]) + "\n")
+    for multi_line in (True, False):
+        told = rows(malformed_reviews(spark, str(path), multi_line).select("reason"))
+        assert told == [
+            ("no row id",), ("points is no int",), ("price is no double",), ("row_id is no bigint",),
+            ("wrong number of cells",), ("wrong number of cells",),
+        ]
+        assert rows(read_reviews_csv(spark, str(path), multi_line, malformed="separate"), "row_id") == [(0,)]
+        with pytest.raises(Exception, match="malformed review"):
+            read_reviews_csv(spark, str(path), multi_line).count()
+
+
+def test_symbols_are_spelled_out(spark):
+    found = one(spark, text.fold, "½ glass", "20°", "€5 £6 ¥7", "©®™", "¡hola! ¿no?", "2×3", "a•b", "a\u2009b\u200bc", "x‐y―z", "‚q‛ „r‟", "soft\u00adhyphen")
+    assert found == [
+        "1/2 glass", "20deg", "EUR5 PS6 Y=7", "(c)(r)(tm)", "!hola! ?no?", "2x3", "a*b", "a bc", "x-y--z", ",q' ,,r\"", "softhyphen",
+    ]
+
+
+def test_stop_list_is_the_published_one():
+    import hashlib
+
+    from cuvee.functions.words import STOP_WORDS
+
+    assert len(STOP_WORDS) == len(set(STOP_WORDS)) == 179
+    assert hashlib.sha256(" ".join(STOP_WORDS).encode()).hexdigest() == "953ad8b2cc7cebba617759ed5b826cd72e373bae3d5d8f34dd7d745c10a94212"

@@ -92,3 +92,19 @@ def test_one_hot_orders_levels_and_ignores_unknown(spark, train):
     ]
     test = spark.createDataFrame([(9, "b", "new", 0), (10, None, "z", 0)], SCHEMA)
     assert rows(encode.one_hot_long(test, dictionary, ["d", "c"])) == [(10, "d", 2), (9, "c", 4)]
+
+
+def test_out_of_fold_means_by_brute_force(spark):
+    import random
+
+    from cuvee.operators.encode import TargetMeanEncoder
+
+    rng = random.Random(2)
+    data = [(i, rng.choice(["a", "b", "c", None]), float(rng.randrange(10)), i % 3) for i in range(60)] + [(60, "rare", 5.0, 0)]
+    df = spark.createDataFrame(data, "row_id long, country string, points double, fold int").repartition(5)
+    encoder = TargetMeanEncoder(inputCols=["country"], outputCols=["m"], labelCol="points", minCount=3, foldCol="fold")
+    for r in encoder.encode_training(df).collect():
+        rest = [d for d in data if d[3] != r.fold]
+        same = [d[2] for d in rest if d[1] == r.country and r.country is not None]
+        want = sum(same) / len(same) if len(same) >= 3 else sum(d[2] for d in rest) / len(rest)
+        assert r.m == pytest.approx(want)

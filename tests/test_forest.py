@@ -93,8 +93,8 @@ def prepared(spark, sf_dir):
 def test_prepared_table(prepared):
     train, test = prepared
     assert train.count() == 1200 and test.count() == 300
-    # The key, the 13 raw columns and the year.
-    assert len(train.columns) == 15
+    # The key, the 13 raw columns, the year and the id as it was.
+    assert len(train.columns) == 16
     assert train.where("description is null or title is null or winery is null").count() == 0
 
 
@@ -152,3 +152,44 @@ def test_train_both_modes_save_and_load(prepared, folder):
     searched.save(folder + "/s")
     back = train.sparkSession.read.csv(folder + "/s/search_results", header=True)
     assert back.count() == 6
+
+
+def test_forests_do_not_depend_on_the_partitions(spark, matrix):
+    from conftest import spread
+
+    small = forest.forest(trees=6, leaf=2, depth=5, seed=1)
+    found = []
+    for n in (1, 4, 17):
+        rows_ = matrix.orderBy(F.xxhash64("row_id", F.lit(n))).repartition(n)
+        got = forest.eliminate(rows_, small, keep=4, step=5)
+        found.append((got.kept, rows(got.model.transform(matrix).select("row_id", "prediction"))))
+    assert found[0] == found[1] == found[2]
+
+
+def test_a_search_leaves_no_tables_of_its_own(spark, sf_dir, folder):
+    import os
+
+    from cuvee.operators.split import split_prefix
+    from cuvee.plans.rating import clean
+    from cuvee.runtime import shared_dir
+
+    train = materialize(split_prefix(clean(reviews(spark, sf_dir).limit(150)), 0.2).where("split = 'train'").drop("split"), "search-input")
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    space = {"leaf": [5, 10], "topics.title": [2], "trees": [3]}
+    results, _ = forest.search(train, SMALL, space, n_iter=2, folds=2, depth=3, partitions=2)
+    assert results.count() == 4
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(shared_dir(spark).removeprefix("file:"))) - before}
+    assert not left & {"search-features", "topic-arrays", "search-train"}
+
+
+def test_prepare_keeps_every_row_of_ids_with_gaps_and_repeats(spark, sf_dir, folder):
+    from cuvee.sources.reviews import read_split
+
+    raw = reviews(spark, sf_dir).limit(40).withColumn(KEY, F.when(F.col(KEY) % 7 == 0, 500).otherwise(F.col(KEY) * 10))
+    rating.prepare(raw, folder, 0.25)
+    both = [read_split(spark, folder, s).collect() for s in ("test", "train")]
+    assert [len(b) for b in both] == [10, 30]
+    assert sorted(r[KEY] for b in both for r in b) == list(range(40))
+    assert sorted(r.original_id for b in both for r in b) == sorted(r[0] for r in raw.select(KEY).collect())
+    words = {(r.points, r.title) for r in raw.collect()}
+    assert len(words) > 30 and all(r.description for b in both for r in b)

@@ -38,3 +38,11 @@ def test_histogram_edges(spark):
     ]
     for values, bins in cases:
         assert counts(spark, [float(v) for v in values] + [None], bins) == np.histogram(values, bins)[0].tolist()
+
+
+def test_histogram_leaves_out_nan_and_null(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,), (1.2,)], "x double")
+    found = profile.histogram(df, "x", 2).orderBy("bin").collect()
+    assert [(r.from_value, r.to_value, r.n) for r in found] == [(1.0, 1.5, 2), (1.5, 2.0, 1)]
+    nothing = profile.histogram(spark.createDataFrame([(float("nan"),)], "x double"), "x", 2)
+    assert [r.n for r in nothing.collect()] == [0, 0]

@@ -2,7 +2,7 @@ import pytest
 from conftest import rows, spread
 from pyspark.sql import functions as F
 
-from cuvee.operators import split
+from cuvee.operators import evaluate, split
 
 
 def test_prefix_truncates(spark):
@@ -27,3 +27,19 @@ def test_hash_split_and_sample_do_not_depend_on_partitions(spark, partitions):
     share = split.split_hash(df, 0.2, 3).where("split = 'test'").count() / 2000
     assert 0.15 < share < 0.25
     assert rows(split.split_hash(df, 0.2, 3)) != rows(split.split_hash(df, 0.2, 4))
+
+
+@pytest.mark.parametrize("ids", [range(0, 100, 10), range(1000, 1010), [5, 5, 5, 7, 7, 9, 9, 9, 9, 1], range(10)])
+def test_ids_with_gaps_give_the_same_sizes(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "row_id long")
+    folds = [r["fold"] for r in split.kfold(df, 5).orderBy("row_id", "fold").collect()]
+    assert sorted(folds) == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
+    assert rows(split.split_prefix(df, 0.3).where("split = 'test'"), "row_id") == [(i,) for i in sorted(ids)[:3]]
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([], "row_id long, label double, prediction double, price double")
+    assert split.kfold(df, 5).count() == split.split_prefix(df, 0.2).count() == 0
+    errors = evaluate.with_errors(df)
+    assert {r.pct for r in evaluate.error_bands(errors).collect()} == {None}
+    assert {r.pct for r in evaluate.error_direction(errors).collect()} == {None}

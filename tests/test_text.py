@@ -141,3 +141,9 @@ def test_weighting_shuffles_the_rows_once(spark, sf_dir):
     model = TermWeights(inputCols=["description"]).fit(df)
     plan = model.packed(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_rows_that_share_an_id_keep_their_own_words(spark):
+    df = spark.createDataFrame([(1, "alpha beta"), (1, "gamma delta"), (None, "eta theta"), (2, None)], "row_id long, description string")
+    found = rows(normalize_descriptions(df))
+    assert found == sorted([(1, "alpha beta"), (1, "gamma delta"), (None, "eta theta"), (2, "_missing_")], key=repr)
