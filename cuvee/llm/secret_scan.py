@@ -216,12 +216,14 @@ def find(docs: DataFrame, model: PipelineModel, words: list[str], settings: Sett
 def redact(docs: DataFrame, found: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the stored findings masked in the text; all other rows and columns as they are."""
     marked = found.groupBy(*_KEYS).agg(F.collect_set("nth").alias("_nth"))
-    keyed = docs.select("*", *_row_key(key, text))
+    # The row as one value, so that its columns can have any names.
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), *_row_key(key, text))
     joined = keyed.join(sized(materialize(marked, "marked")), _KEYS, "left")
-    values, gaps = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE)
+    whole = F.col("_row").getField(text)
+    values, gaps = F.regexp_extract_all(whole, F.lit(CANDIDATE), F.lit(0)), F.split(whole, CANDIDATE)
     parts = F.transform(
         F.arrays_zip(values.alias("c"), F.slice(gaps, F.lit(1), F.size(values)).alias("g")),
         lambda x, i: F.concat(x["g"], F.when(F.array_contains("_nth", i), F.lit(settings.mask)).otherwise(x["c"])),
     )
-    masked = F.concat(F.array_join(parts, ""), F.element_at(gaps, -1))
-    return joined.withColumn(text, F.when(F.col("_nth").isNotNull(), masked).otherwise(F.col(text))).select(*docs.columns)
+    masked = F.when(F.col("_nth").isNotNull(), F.concat(F.array_join(parts, ""), F.element_at(gaps, -1))).otherwise(whole)
+    return joined.select(*[(masked if c == text else F.col("_row").getField(c)).alias(c) for c in docs.columns])
