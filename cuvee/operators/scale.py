@@ -8,13 +8,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuvee.runtime import materialize
+from cuvee.runtime import discard, materialize
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more than 1/HOT_PARTS of the rows is hot, so there are fewer than HOT_PARTS of them.
@@ -143,6 +144,22 @@ def ordered_index(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     )
 
 
+def _squeezed(x: float) -> float:
+    return math.copysign(min(math.log1p(abs(x)), 800.0), x)
+
+
+def _bucket(x: Column, lo: float, hi: float) -> Column:
+    """Number of the step of ``x`` between ``lo`` and ``hi``; it never falls as ``x`` rises. A range whose width might overflow, or
+    that holds an infinity, is cut into steps of the logarithm."""
+    first = F.when(x <= F.lit(lo), 0).otherwise(1)
+    if not (abs(lo) < 1e300 and abs(hi) < 1e300):
+        x, lo, hi = F.signum(x) * F.least(F.log1p(F.abs(x)), F.lit(800.0)), _squeezed(lo), _squeezed(hi)
+    if lo == hi:  # the logarithms are the same: the lowest value and the rest
+        return first
+    step = F.floor((x - F.lit(lo)) / F.lit(hi - lo) * MEDIAN_BUCKETS)
+    return F.greatest(F.least(step, F.lit(MEDIAN_BUCKETS - 1)), F.lit(0))
+
+
 def exact_medians(df: DataFrame, values: Mapping[str, Column]) -> dict[str, float | None]:
     """Exact median of each expression over its non-null values; the mean of the middle two for an even count.
 
@@ -151,7 +168,9 @@ def exact_medians(df: DataFrame, values: Mapping[str, Column]) -> dict[str, floa
     counters. The bracket shrinks to one value after a few passes.
     """
     names = list(values)
-    doubles = df.select(*[F.nanvl(values[n].cast("double"), F.lit(None)).alias(f"v{i}") for i, n in enumerate(names)])
+    columns = [F.nanvl(values[n].cast("double"), F.lit(None)).alias(f"v{i}") for i, n in enumerate(names)]
+    # Every pass reads the same few columns, so they are worked out once.
+    doubles = materialize(df.select(*columns), "median-columns")
     first = doubles.agg(
         *[
             f(F.col(f"v{i}")).alias(f"{tag}{i}")
@@ -170,15 +189,13 @@ def exact_medians(df: DataFrame, values: Mapping[str, Column]) -> dict[str, floa
         elif lo == hi:
             medians[name] = lo
         else:
-            if not (abs(lo) < 1e300 and abs(hi) < 1e300):
-                raise ValueError(f"median of {name}: values must be finite and below 1e300")
             open_[i] = (lo, hi, (n - 1) // 2, n // 2)
 
     while open_:
         cells = []
         for i, (lo, hi, _, _) in open_.items():
             x = F.col(f"v{i}")
-            step = F.least(F.floor((x - lo) / F.lit(hi - lo) * MEDIAN_BUCKETS), F.lit(MEDIAN_BUCKETS - 1))
+            step = _bucket(x, lo, hi)
             cells.append(F.when(x.between(lo, hi), F.struct(F.lit(i).alias("i"), step.cast("int").alias("b"), x.alias("x"))))
         counted = (
             doubles.select(F.explode(F.array(*cells)).alias("c"))
@@ -204,4 +221,5 @@ def exact_medians(df: DataFrame, values: Mapping[str, Column]) -> dict[str, floa
                     medians[names[i]] = (found[i]["low"] + cell["lo"]) / 2
                 seen += cell["n"]
         open_ = narrowed
+    discard(doubles)
     return medians

@@ -82,3 +82,18 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = runtime.shared_dir(spark)
     assert folder == named if named else folder
     assert runtime.new_path(spark, "x").startswith(folder)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1.0, float("inf"), float("inf")], [float("-inf"), 2.0, 3.0, float("inf")], [1e308, 1.0000000000000002e308, 1.7e308, -1e308],
+        [1e308, 1.0000000000000002e308, 1.0000000000000004e308], [5e-324, 0.0, -5e-324, 1e300], [-1e301, 7.0, 1e301, 8.0, None],
+    ],
+)
+def test_medians_over_the_whole_range_of_doubles(spark, values):
+    import statistics
+
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    want = statistics.median(v for v in values if v is not None)
+    assert scale.exact_medians(df, {"x": F.col("x")})["x"] == want
