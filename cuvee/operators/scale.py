@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from cuvee.runtime import discard, materialize
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more than 1/HOT_PARTS of the rows is hot, so there are fewer than HOT_PARTS of them.
+# A key is hot if it has more than 1/HOT_PARTS of the rows, or more rows than one task should get.
 HOT_PARTS = 1000
-SPREAD = 4096
+ROWS_PER_TASK = 5_000_000
 MEDIAN_BUCKETS = 4096
 
 
@@ -42,12 +42,22 @@ def fits_broadcast(table: DataFrame, limit: int | None = None) -> bool:
     return table_bytes(table) <= (BROADCAST_BYTES if limit is None else limit)
 
 
+def _hot_from(total: int) -> float:
+    """Rows above which a key is hot; there are fewer than ``HOT_PARTS`` or ``total / ROWS_PER_TASK`` such keys."""
+    return min(total / HOT_PARTS, ROWS_PER_TASK)
+
+
+def _salts(rows: DataFrame) -> int:
+    """Over how many parts a hot key is spread: at least one per shuffle partition."""
+    return max(4096, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def hot_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The keys of ``rows`` with more than 1/HOT_PARTS of its rows, from partial counts."""
+    """The hot keys of ``rows``, from partial counts."""
     total = rows.count()
     keyed = rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]))
     counts = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return materialize(counts.where(F.col("_n") * HOT_PARTS > total).drop("_n"), "hot-keys")
+    return materialize(counts.where(F.col("_n") > _hot_from(total)).drop("_n"), "hot-keys")
 
 
 def attach(
@@ -62,10 +72,9 @@ def attach(
     """Left join ``rows`` to ``lookup`` (unique on ``on``), keeping every row.
 
     ``small`` is the outcome of an earlier ``fits_broadcast``; without it the lookup is measured here. A lookup that
-    is too large to broadcast is joined by shuffle, but the hot keys of ``rows`` are first taken out: fewer than
-    ``HOT_PARTS`` keys can be hot, so their part of the lookup is broadcast, and hot and null keyed rows are spread
-    over ``SPREAD`` salts by the hash of the ``spread`` columns. No task then gets more than 1/HOT_PARTS of the rows
-    for one key. ``hot`` is the outcome of an earlier ``hot_keys`` over the same rows.
+    is too large to broadcast is joined by shuffle, but the hot keys of ``rows`` are first taken out: few keys
+    can be hot, so their part of the lookup is broadcast, and hot and null keyed rows are spread
+    over salts by the hash of the ``spread`` columns. No task then gets more rows for one key than makes it hot. ``hot`` is the outcome of an earlier ``hot_keys`` over the same rows.
     """
     on = list(on)
     if small is None:
@@ -79,7 +88,7 @@ def attach(
     known = hot.join(lookup, on, "left").select(
         *on, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values]
     )
-    anywhere = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(SPREAD)) + 1
+    anywhere = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(_salts(rows))) + 1
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     salted = rows.join(F.broadcast(known), on, "left").withColumn(
         "_salt", F.when(F.col("_hot") | no_key, anywhere).otherwise(F.lit(0).cast("long"))
@@ -104,7 +113,7 @@ def attach_columns(
     if large:
         values = rows.select(*[F.col(c).cast("string").alias(c) for c in large]).unpivot([], large, "column", "value")
         counts = values.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        hot = materialize(counts.where(F.col("n") * HOT_PARTS > rows.count()), "hot-keys")
+        hot = materialize(counts.where(F.col("n") > _hot_from(rows.count())), "hot-keys")
     x = next(c for c in lookup.columns if c not in ("column", "value"))
     for c in columns:
         own = lookup.where(F.col("column") == c).select(F.col("value").alias(c), F.col(x).alias(f"_x_{c}"))
@@ -114,10 +123,17 @@ def attach_columns(
 
 
 def small_columns(lookup: DataFrame, limit: int | None = None) -> dict[str, bool]:
-    """For each column of a long lookup (column, value, ...): whether its part may be broadcast."""
-    limit = BROADCAST_BYTES if limit is None else limit
+    """For each column of a long lookup (column, value, ...): whether its part may be broadcast.
+
+    The limit holds for all of them together, since one stage holds them all: the smallest are broadcast first.
+    """
+    left = BROADCAST_BYTES if limit is None else limit
     size = F.sum(F.octet_length("value").cast("long") + 48).alias("size")
-    return {r["column"]: r["size"] <= limit for r in lookup.groupBy("column").agg(size).collect()}
+    small = {}
+    for r in sorted(lookup.groupBy("column").agg(size).collect(), key=lambda r: (r["size"], r["column"])):
+        small[r["column"]] = r["size"] <= left
+        left -= r["size"] if small[r["column"]] else 0
+    return small
 
 
 def ordered_index(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
