@@ -17,6 +17,7 @@ from cuvee.plans import rating
 from cuvee.plans.fixture import document_reviews, reviews, table
 from cuvee.runtime import materialize, new_path
 from cuvee.schema import KEY, LABEL, ROLES
+from cuvee.sources.features import read_feature_dictionary, read_features, write_feature_dictionary, write_features
 from cuvee.sources.reviews import malformed_reviews, read_reviews_csv, read_split, write_reviews_csv, write_split
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -416,10 +417,17 @@ def rfecv_scores(spark, sf_dir):
     return forest.elimination_scores(folded, forest.forest(trees=10, depth=5, seed=7), folds=3, step=0.5, smallest=10)
 
 
+def _search(spark, sf_dir):
+    def make():
+        train = read_split(spark, _prepared_reviews(spark, sf_dir), "train")
+        settings = SMALL.with_values({"max_iter": 3})
+        return forest.search(train, settings, SMALL_SPACE, n_iter=4, folds=3, depth=5, seed=7)[0]
+
+    return _once(spark, sf_dir, "search", make)
+
+
 def search_results(spark, sf_dir):
-    train = read_split(spark, _prepared_reviews(spark, sf_dir), "train")
-    settings = SMALL.with_values({"max_iter": 3})
-    return forest.search(train, settings, SMALL_SPACE, n_iter=4, folds=3, depth=5, seed=7)[0]
+    return _search(spark, sf_dir)
 
 
 def feature_importance_topk(spark, sf_dir):
@@ -454,20 +462,40 @@ def topic_checks(spark, sf_dir):
 
 
 def feature_checks(spark, sf_dir):
-    """Rows of both sets, rows whose vector is not as wide as the dictionary, names given twice, values that are no numbers."""
+    """Rows of both sets, rows whose vector is not as wide as the dictionary, positions named twice, values that are no numbers; all
+    from the matrix and the dictionary as they are stored and read back."""
     model, train, test = _features(spark, sf_dir)
-    names = feature_dictionary(model)
+    at = new_path(spark, "feature-store")
+    for name, rows in (("train", train), ("test", test)):
+        write_features(rows, f"{at}/{name}")
+    write_feature_dictionary(feature_dictionary(model), topic_terms(model), f"{at}/info")
+    names, _ = read_feature_dictionary(spark, f"{at}/info")
+    stored = {name: read_features(spark, f"{at}/{name}") for name in ("train", "test")}
     width = names.count()
-    rows = materialize(train.unionByName(test).select(vector_to_array("features").alias("x")), "checked-features")
-    wrong = rows.where(F.size("x") != width).count()
-    bad = rows.where(F.exists("x", lambda v: v.isNull() | F.isnan(v))).count()
+    vector = vector_to_array("features").alias("x")
+    rows = stored["train"].select(vector).unionByName(stored["test"].select(vector))
+    bad = F.exists("x", lambda v: v.isNull() | F.isnan(v))
+    wrong, no_number = rows.agg(F.count_if(F.size("x") != width), F.count_if(bad)).first()
     return _checks(
         spark,
-        {"train": train.count(), "test": test.count(), "wrong width": wrong, "not a number": bad,
+        {"train": stored["train"].count(), "test": stored["test"].count(), "wrong width": wrong, "not a number": no_number,
          "names twice": width - names.select("feature_idx").distinct().count()},
     )
 
 
+def search_checks(spark, sf_dir):
+    """Rows, candidates, folds and the best rank of a search, and candidates whose mean isn't that of their folds by rows."""
+    results = _search(spark, sf_dir)
+    n = read_split(spark, _prepared_reviews(spark, sf_dir), "train").count()
+    size = F.lit(n // 3) + (F.col("fold") < n % 3).cast("int")
+    means = results.groupBy("candidate").agg((F.sum(F.col("mse") * size) / F.sum(size)).alias("m"), F.first("mean_mse").alias("given"))
+    rows, candidates, folds, best = results.agg(
+        F.count(F.lit(1)), F.count_distinct("candidate"), F.count_distinct("fold"), F.min("rank")
+    ).first()
+    off = means.where(F.abs(F.col("m") - F.col("given")) > 1e-9).count()
+    return _checks(spark, {"rows": rows, "candidates": candidates, "folds": folds, "best rank": best, "wrong means": off})
+
+
 def forest_checks(spark, sf_dir):
     """Predictions, those beyond the labels, features kept, support rows off the dictionary, ranks of the importance table."""
     model, train, test = _features(spark, sf_dir)
@@ -549,7 +577,7 @@ QUERIES: dict[str, Query] = {
         tfidf_raw, tfidf_sublinear, topic_weights, topic_top_terms,
         assemble_features, feature_names, rf_predict, rfe_support, rfecv_scores, search_results,
         feature_importance_topk, top_topic_words, pruned_error_summary,
-        topic_checks, feature_checks, forest_checks,
+        topic_checks, feature_checks, forest_checks, search_checks,
         error_rows, error_bands, error_direction, error_summary, error_histogram, price_by_error_direction,
         bias_by_score, calibration_bins, axis_bounds,
     )

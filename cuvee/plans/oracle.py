@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from cuvee.functions.words import PUNCTUATION, STOP_WORDS
-from cuvee.plans.catalog import MEAN_MIN_COUNT, POOL_COUNTS, TEST_SIZE
+from cuvee.plans.catalog import MEAN_MIN_COUNT, POOL_COUNTS, SMALL, TEST_SIZE
 from cuvee.plans.fixture import REVIEWS_NO_TEXT_SQL, REVIEWS_SQL
-from cuvee.schema import ROLES
+from cuvee.schema import POOLED, ROLES
 
 CATS = ROLES.categorical
 R = f"r AS ({REVIEWS_NO_TEXT_SQL})"
@@ -216,6 +216,22 @@ SELECT row_id, CASE WHEN row_number() OVER (ORDER BY row_id) <= floor(count(*) O
 SELECT f.row_id, round(CASE WHEN c.n >= 20 THEN c.s / c.n ELSE m.mean END, 6) AS country,
        round(CASE WHEN w.n >= 20 THEN w.s / w.n ELSE m.mean END, 6) AS winery
 FROM f JOIN m USING (fold) LEFT JOIN country_o c ON c.v = f.country AND c.fold = f.fold LEFT JOIN winery_o w ON w.v = f.winery AND w.fold = f.fold""",
+    "feature_names": f"""WITH {SPLIT}, {LONG_TRAIN},
+counts AS (SELECT "column" AS c, value, count(*) AS n FROM long GROUP BY ALL),
+levels AS (SELECT DISTINCT c, CASE WHEN n >= CASE c WHEN 'winery' THEN {SMALL.pool_min_count_winery} ELSE {SMALL.pool_min_count} END
+                                   THEN value ELSE '{POOLED}' END AS level FROM counts),
+lines AS (
+  SELECT 0 AS block, 0 AS part, i - 1 AS ordinal, [{', '.join(map(quoted, ROLES.numeric))}][i] AS source_col, 'numeric' AS kind, NULL AS level,
+         [{', '.join(map(quoted, ROLES.numeric))}][i] AS name FROM (SELECT unnest(range(1, {len(ROLES.numeric) + 1})) AS i)
+  UNION ALL SELECT 1, 0, i - 1, [{', '.join(map(quoted, CATS))}][i], 'mean', NULL, [{', '.join(map(quoted, CATS))}][i] || '_avg_points'
+  FROM (SELECT unnest(range(1, {len(CATS) + 1})) AS i)
+  UNION ALL SELECT 2, list_position([{', '.join(map(quoted, CATS))}], c), row_number() OVER (PARTITION BY c ORDER BY level) - 1, c, 'level', level,
+         c || '_' || level FROM levels
+  UNION ALL SELECT 3, p, i, c, 'topic', NULL, c || '_topic_' || i
+  FROM (SELECT p, c, unnest(range(k)) AS i FROM (VALUES {', '.join(f"({p}, {quoted(c)}, {SMALL.topics[c]})" for p, c in enumerate(ROLES.text))}) t(p, c, k)))
+SELECT CAST(row_number() OVER (ORDER BY block, part, ordinal) - 1 AS INTEGER) AS feature_idx, name, source_col, kind, level,
+       CAST(ordinal AS INTEGER) AS ordinal FROM lines""",
+    "search_checks": """SELECT * FROM (VALUES ('rows', 12), ('candidates', 4), ('folds', 3), ('best rank', 1), ('wrong means', 0)) t(name, n)""",
     "topic_checks": """SELECT 'texts' AS name, count(*) AS n FROM documents
 UNION ALL SELECT 'below zero', 0 UNION ALL SELECT 'rising rounds', 0""",
     "feature_checks": f"""SELECT 'train' AS name, count(*) - CAST(floor(count(*) * {TEST_SIZE}) AS BIGINT) AS n FROM orders
