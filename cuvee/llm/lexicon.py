@@ -13,11 +13,13 @@ class Term:
     weight: float
     #: A stem matches every word that begins with it; other terms match whole words.
     stem: bool = False
+    #: Whether misspellings of a whole word match too.
+    fuzzy: bool = True
 
     @property
     def edits(self) -> int:
         """Edits allowed: none in stems and short words, one from five letters, two from nine."""
-        return 0 if self.stem or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
+        return 0 if self.stem or not self.fuzzy or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
 
 
 class LexiconAutomaton:
@@ -28,7 +30,8 @@ class LexiconAutomaton:
     letter and most words end after a few. ``MEMORY`` bounds what is remembered; beyond it the memory starts anew.
     """
 
-    MEMORY = 400_000
+    MEMORY = 200_000
+    HEAD = 4
 
     def __init__(self, terms: list[Term]):
         self.terms = terms
@@ -59,6 +62,9 @@ class LexiconAutomaton:
         self._whole: list[tuple[int, int] | None] = []
         self._stems: list[tuple[int, int] | None] = []
         self._words: dict[str, tuple[int, int] | None] = {}
+        #: First letters after which no term can be reached; most words end there, and need no memory of their own.
+        self.dead_heads: set[str] = set()
+        self._held = 0
         self._start = self._number(self._closed({0: 0}))
 
     def _closed(self, state: dict[int, int]) -> dict[int, int]:
@@ -79,6 +85,7 @@ class LexiconAutomaton:
         if key not in self._numbers:
             self._numbers[key] = len(self._states)
             self._states.append(state)
+            self._held += len(state)
             self._steps.append({})
             whole = [
                 (edits, -self.terms[t].weight, t)
@@ -114,10 +121,11 @@ class LexiconAutomaton:
         """(number of the nearest term, edits) or None; of equally near terms the heaviest, then the first."""
         if word in self._words:
             return self._words[word]
-        if len(self._words) + len(self._states) > self.MEMORY:
+        if len(self._words) + self._held + len(self.dead_heads) > self.MEMORY:
             self._forget()
-        state, best = self._start, None
+        state, best, read = self._start, None, 0
         for letter in word:
+            read += 1
             to = self._steps[state].get(letter)
             state = self._step(state, letter) if to is None else to
             if state == _DEAD:
@@ -129,5 +137,20 @@ class LexiconAutomaton:
             whole = self._whole[state]
             if whole and (best is None or (whole[1], -self.terms[whole[0]].weight) < (0, -self.terms[best[0]].weight)):
                 best = whole
-        self._words[word] = best
+        if state == _DEAD and best is None and read <= self.HEAD <= len(word):
+            self.dead_heads.add(word[: self.HEAD])
+        else:
+            self._words[word] = best
         return best
+
+    def matches(self, words: set[str]) -> dict[str, tuple[int, int]]:
+        """The words that match a term, with what ``match`` gives."""
+        dead, head = self.dead_heads, self.HEAD
+        found = {}
+        for word in words:
+            if word[:head] not in dead:
+                hit = self.match(word)
+                dead = self.dead_heads
+                if hit is not None:
+                    found[word] = hit
+        return found

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cuvee.llm.common import give_back
 from cuvee.llm.lexicon import LexiconAutomaton, Term
 from cuvee.runtime import materialize, ship_package
 
@@ -44,8 +46,8 @@ N_FEATURES = 8
 class Settings:
     #: Labelled documents that training reads at most, chosen by the hash of their id.
     train_rows: int = 20_000
-    terms: int = 300
-    #: Toxic training documents that must hold a term.
+    terms: int = 200
+    #: Different words that must precede a term in toxic training documents.
     support: int = 5
     #: Least logarithm of how much more frequent a term is in toxic documents.
     lift: float = 1.2
@@ -95,7 +97,7 @@ def quoted_share(low: str, spans: list[tuple[int, int]], i: int, window: int) ->
 def document_features(text: str, automaton: LexiconAutomaton, window: int) -> list[float]:
     low = text.lower()
     words = _WORD.findall(low)
-    hits = {w: m for w in set(words) if (m := automaton.match(w)) is not None}
+    hits = automaton.matches(set(words))
     abuse = quoted = fuzzy = 0.0
     seen: set[int] = set()
     count = 0
@@ -127,40 +129,68 @@ def document_features(text: str, automaton: LexiconAutomaton, window: int) -> li
     ]
 
 
-def _word_features(text: str, lengths: tuple[int, ...]) -> Counter:
-    """Words and word beginnings (marked by a trailing \\*) of a text, at most five times each."""
-    words = Counter(_WORD.findall(text.lower()))
+def _word_features(text: str, lengths: tuple[int, ...]) -> tuple[Counter, dict[str, int]]:
+    """Words and word beginnings (marked by a trailing star) of a text, counted up to five, and by which words they are preceded: one bit of
+    63 for each, by its checksum."""
+    words = _WORD.findall(text.lower())
     found: Counter = Counter()
-    for w, n in words.items():
+    after: dict[str, int] = {}
+    before = ""
+    for w in words:
         if not w.isdigit():
-            found[w] += n
-            for k in lengths:
-                if len(w) > k:
-                    found[w[:k] + "*"] += n
-    return Counter({w: min(n, 5) for w, n in found.items()})
+            bit = 1 << zlib.crc32(before.encode()) % 63
+            for term in (w, *(w[:k] + "*" for k in lengths if len(w) > k)):
+                found[term] += 1
+                after[term] = after.get(term, 0) | bit
+        before = w
+    return Counter({w: min(n, 5) for w, n in found.items()}), after
 
 
-def _term_counts(sample: DataFrame, toxic: int, known: frozenset | None, settings: Settings) -> DataFrame:
+def _toxic_counts(texts: DataFrame, settings: Settings) -> DataFrame:
+    """(term, n, contexts) in toxic documents; contexts is how many different words precede it, up to 63.
+
+    Copies of one document hold its words in the same context, so they alone make no term.
+    """
     lengths = settings.stem_lengths
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
-        docs: Counter = Counter()
+        seen: dict[str, int] = {}
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found = _word_features(text, lengths)
-                if known is not None:
-                    found = {w: n for w, n in found.items() if w in known}
+            for text in (v.as_py() for v in batch.column(0)):
+                found, after = _word_features(text, lengths)
                 total.update(found)
-                docs.update(found.keys())
+                for term, bits in after.items():
+                    seen[term] = seen.get(term, 0) | bits
         names = list(total)
         yield pa.RecordBatch.from_pydict(
             {"term": pa.array(names, pa.string()), "n": pa.array([total[w] for w in names], pa.int64()),
-             "docs": pa.array([docs[w] for w in names], pa.int64())}
+             "bits": pa.array([seen[w] for w in names], pa.int64())}
         )
 
-    rows = sample.where(F.col("toxic") == toxic).select("text").mapInArrow(count, "term string, n long, docs long")
-    return rows.groupBy("term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    rows = texts.mapInArrow(count, "term string, n long, bits long")
+    return rows.groupBy("term").agg(F.sum("n").alias("n"), F.bit_count(F.bit_or("bits")).alias("contexts"))
+
+
+def _clean_counts(texts: DataFrame, known: frozenset, settings: Settings) -> DataFrame:
+    """(term, n) of the known terms in other documents."""
+    lengths = settings.stem_lengths
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        for batch in batches:
+            for text in (v.as_py() for v in batch.column(0)):
+                found: Counter = Counter()
+                for w, n in Counter(_WORD.findall(text.lower())).items():
+                    for term in (w, *(w[:k] + "*" for k in lengths if len(w) > k)):
+                        if term in known:
+                            found[term] += n
+                total.update({term: min(n, 5) for term, n in found.items()})
+        yield pa.RecordBatch.from_pydict(
+            {"term": pa.array(list(total), pa.string()), "n": pa.array(list(total.values()), pa.int64())}
+        )
+
+    return texts.mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def learn_lexicon(sample: DataFrame, settings: Settings) -> list[Term]:
@@ -168,9 +198,11 @@ def learn_lexicon(sample: DataFrame, settings: Settings) -> list[Term]:
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return []
-    frequent = _term_counts(sample, 1, None, settings).where(F.col("docs") >= settings.support)
-    toxic = {r["term"]: (r["n"], r["docs"]) for r in frequent.collect()}
-    clean = {r["term"]: r["n"] for r in _term_counts(sample, 0, frozenset(toxic), settings).collect()}
+    frequent = _toxic_counts(sample.where(F.col("toxic") == 1).select("text"), settings)
+    found = frequent.where(F.col("contexts") >= settings.support).collect()
+    toxic = {r["term"]: (r["n"], r["contexts"]) for r in found}
+    counted = _clean_counts(sample.where(F.col("toxic") == 0).select("text"), frozenset(toxic), settings)
+    clean = {r["term"]: r["n"] for r in counted.collect()}
     # A beginning that stands for one longer beginning or one word is left to that one.
     longer: Counter = Counter()
     for term, (n, _) in toxic.items():
@@ -179,21 +211,23 @@ def learn_lexicon(sample: DataFrame, settings: Settings) -> list[Term]:
             if k < len(word) or (k == len(word) and term == word):
                 longer[word[:k] + "*"] = max(longer[word[:k] + "*"], n)
     scored = []
-    for term, (n, docs) in toxic.items():
+    for term, (n, contexts) in toxic.items():
         if longer[term] >= 0.9 * n:
             continue
         lift = math.log((n + 0.5) / (sizes[1] + 1)) - math.log((clean.get(term, 0) + 0.5) / (sizes[0] + 1))
-        # The share of toxic documents that the lift could be owed to chance falls with the count.
-        sure = lift - 2 / math.sqrt(n)
+        # What the lift could owe to chance, among so many terms, falls with the count.
+        sure = lift - 4 / math.sqrt(n)
         if sure >= settings.lift:
-            scored.append((sure * math.log1p(docs), term, lift))
+            scored.append((sure * math.log1p(contexts), term, lift))
     chosen: dict[str, float] = {}
     for _, term, lift in sorted(scored, key=lambda s: (-s[0], s[1])):
         word = term.rstrip("*")
         covered = [chosen[word[:k] + "*"] for k in settings.stem_lengths if word[:k] + "*" in chosen]
         if len(chosen) < settings.terms and not (covered and max(covered) >= lift - 0.7):
             chosen[term] = lift
-    return [Term(t.rstrip("*"), lift, t.endswith("*")) for t, lift in chosen.items()]
+    # Misspellings are looked for of the strong terms: those of a weak one are mostly other words.
+    strong = 0.6 * max(chosen.values(), default=0.0)
+    return [Term(t.rstrip("*"), lift, t.endswith("*"), lift >= strong) for t, lift in chosen.items()]
 
 
 def _fit(x: np.ndarray, y: np.ndarray, penalty: float) -> tuple[list[float], list[float], list[float]]:
@@ -231,7 +265,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [document_features(t, automaton, settings.window) for t in batch.column(0).to_pylist()]
+            rows = [document_features(t, automaton, settings.window) for t in (v.as_py() for v in batch.column(0))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"]
             )
@@ -250,8 +284,11 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str =
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array([model.score(t or "") for t in batch.column(at).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
+            for first in range(0, batch.num_rows, 500):  # few texts at a time as Python objects
+                part = batch.slice(first, 500)
+                scores = pa.array([model.score(t or "") for t in part.column(at).to_pylist()], pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*part.schema.names, name])
+        give_back()
 
     schema = T.StructType([*rest, T.StructField(name, T.DoubleType())])
     return docs.select(*[f.name for f in rest]).mapInArrow(add, schema)
