@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cuvee.llm import decontaminate, near_dups, packing, queries, secret_scan, toxicity
 from cuvee.llm.common import keep_columns, one_row_per_id
-from cuvee.runtime import materialize
+from cuvee.runtime import discard, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,5 +66,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = queries.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        read, docs = docs, materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(read)  # nothing reads it any more; the given table isn't one of ours and stays
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,11 @@ def sized(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if fits_broadcast(table, BROADCAST_BYTES) else table
 
 
+def give_back() -> None:
+    """At the end of a task: hand memory that Arrow keeps for later back, since workers stay for other tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuvee.runtime import materialize
+from cuvee.runtime import discard, materialize
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -34,6 +34,7 @@ def components(links: DataFrame) -> DataFrame:
         )
         to_a = first.select(F.col("v").alias("a"), F.col("m").alias("x"))
         to_b = first.select(F.col("v").alias("b"), F.col("m").alias("y"))
+        read = [edges, first, labels]
         edges = materialize(
             edges.join(to_a, "a").join(to_b, "b").where(F.col("x") != F.col("y"))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
@@ -45,7 +46,9 @@ def components(links: DataFrame) -> DataFrame:
             moved = first.select(F.col("v").alias("root"), F.col("m").alias("to"))
             labels = labels.join(moved, "root", "left").select("id", F.coalesce("to", "root").alias("root"))
         labels = materialize(labels, "labels")
+        discard(*[t for t in read if t is not None])
         number += 1
+    discard(edges)
     if labels is None:
         kind = dict(links.dtypes)["a"]
         return links.sparkSession.createDataFrame([], f"id {kind}, component {kind}")

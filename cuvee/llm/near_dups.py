@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuvee.llm.common import sized
+from cuvee.llm.common import give_back, sized
 from cuvee.llm.components import components
 from cuvee.llm.wordhash import mix, words_by_text
-from cuvee.runtime import materialize, ship_package
+from cuvee.runtime import discard, materialize, ship_package
 
 _ORDER = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0x2545F4914F6CDD1D)
@@ -112,6 +112,7 @@ def signatures(docs: DataFrame, settings: Settings, key: str = "doc_id", text: s
                 ],
                 names=["id", "n_shingles", "h1", "h2", "bands"],
             )
+        give_back()
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t")).where(F.col("id").isNotNull())
     return rows.mapInArrow(sign, "id long, n_shingles long, h1 long, h2 long, bands array<long>")
@@ -124,22 +125,24 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, settings: Settings, key: str =
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, one, low = [], [], []
-            for _, words in words_by_text(batch.column(1)):
+            found, one, low, first = [], [], [], 0
+            for row, words in words_by_text(batch.column(1)):
                 s = shingle_set(words, settings.shingle_words)
                 found.append(s.view(np.int64))
                 one.append(np.add.reduce(s) if len(s) else np.uint64(0))
                 low.append((min_max(s, factors) >> np.uint64(16)).astype(np.uint32).tobytes())
-            for at in range(0, len(found), 512):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, 512),
-                        pa.array(np.array(one[at : at + 512], dtype=np.uint64).view(np.int64)),
-                        pa.array(found[at : at + 512], pa.list_(pa.int64())),
-                        pa.array(low[at : at + 512], pa.binary()),
-                    ],
-                    names=["id", "h1", "shingles", "signature"],
-                )
+                if len(found) == 256 or row == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).slice(first, len(found)),
+                            pa.array(np.array(one, dtype=np.uint64).view(np.int64)),
+                            pa.array(found, pa.list_(pa.int64())),
+                            pa.array(low, pa.binary()),
+                        ],
+                        names=["id", "h1", "shingles", "signature"],
+                    )
+                    found, one, low, first = [], [], [], row + 1
+        give_back()
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
     return rows.join(sized(ids), "id").mapInArrow(sets, "id long, h1 long, shingles array<long>, signature binary")
@@ -279,8 +282,11 @@ def near_duplicates(
     roots = materialize(components(links), "roots")
     more = materialize(residual_links(members, roots, sets, settings), "residual-links")
     if more.limit(1).count():
+        discard(roots)
         roots = materialize(components(links.union(more)), "roots")
 
+    # The result reads the classes and the components only.
+    discard(signed, members, ids, sets, links, more, repeated)
     of_class = roots.select(F.col("id").alias("class_id"), "component")
     result = classed.select("id", "n_shingles", "class_id").join(of_class, "class_id", "left")
     component = F.coalesce("component", "class_id")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cuvee.llm.common import shuffle_parts
+from cuvee.llm.common import give_back, shuffle_parts
 from cuvee.llm.word_tokens import encoder
 from cuvee.runtime import materialize, ship_package
 
@@ -61,6 +61,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids:
                 if keep_ids:
                     columns["ids"] = pa.array(ids, pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
+        give_back()
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids

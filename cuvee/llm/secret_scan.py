@@ -162,7 +162,9 @@ def labelled_findings(spark: SparkSession, words: list[str], n: int) -> DataFram
 
 
 def train(spark: SparkSession, words: list[str], settings: Settings = Settings()) -> PipelineModel:
-    rows = features(labelled_findings(spark, words, settings.findings), words)
+    # Stored first: the features name each value many times, and the rules that make it are long.
+    findings = materialize(labelled_findings(spark, words, settings.findings), "labelled-findings")
+    rows = features(findings, words)
     # One task in a fixed order, so that the forest is the same on any cluster; ``findings`` bounds it.
     rows = rows.repartition(1).sortWithinPartitions("value", "before", "after")
     forest = RandomForestClassifier(
