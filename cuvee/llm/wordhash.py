@@ -18,7 +18,7 @@ _BLANK[[32, *range(9, 14)]] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes handled at once; a longer text is read in pieces cut at a blank.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
