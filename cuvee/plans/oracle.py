@@ -232,7 +232,8 @@ lines AS (
 SELECT CAST(row_number() OVER (ORDER BY block, part, ordinal) - 1 AS INTEGER) AS feature_idx, name, source_col, kind, level,
        CAST(ordinal AS INTEGER) AS ordinal FROM lines""",
     "search_checks": """SELECT * FROM (VALUES ('rows', 12), ('candidates', 4), ('folds', 3), ('best rank', 1), ('wrong means', 0)) t(name, n)""",
-    "topic_checks": """SELECT 'texts' AS name, count(*) AS n FROM documents
+    "topic_checks": f"""SELECT 'texts' AS name, count(*) AS n FROM documents
+WHERE regexp_matches(array_to_string(list_filter({words(norm('text'))}, lambda t: t NOT IN ({STOPPED})), ' '), '\\w\\w')
 UNION ALL SELECT 'below zero', 0 UNION ALL SELECT 'rising rounds', 0""",
     "feature_checks": f"""SELECT 'train' AS name, count(*) - CAST(floor(count(*) * {TEST_SIZE}) AS BIGINT) AS n FROM orders
 UNION ALL SELECT 'test', CAST(floor(count(*) * {TEST_SIZE}) AS BIGINT) FROM orders
