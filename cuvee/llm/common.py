@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuvee.operators.scale import fits_broadcast
-from cuvee.runtime import materialize
+from cuvee.runtime import materialize, ship_package
 
 #: Measured bytes up to which a side is broadcast; beyond it the same join runs by shuffle.
 BROADCAST_BYTES = 16 * 1024 * 1024
@@ -21,6 +21,19 @@ def sized(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if fits_broadcast(table, BROADCAST_BYTES) else table
 
 
+#: Rows of an Arrow batch that holds whole texts. Spark's default of 10,000 is meant for rows of numbers: with texts a task keeps
+#: that many of them on both sides of the pipe, and its buffers double as they grow.
+TEXT_ROWS = 1000
+
+
+def to_python(spark: SparkSession) -> None:
+    """Before texts go to Python workers: ship the package, and keep batches small unless they are set smaller already."""
+    ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= TEXT_ROWS:
+        spark.conf.set(rows, str(TEXT_ROWS))
+
+
 def give_back() -> None:
     """At the end of a task: hand memory that Arrow keeps for later back, since workers stay for other tasks."""
     pa.default_memory_pool().release_unused()

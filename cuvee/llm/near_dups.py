@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuvee.llm.common import give_back, sized
+from cuvee.llm.common import give_back, sized, to_python
 from cuvee.llm.components import components
 from cuvee.llm.wordhash import mix, words_by_text
-from cuvee.runtime import discard, materialize, ship_package
+from cuvee.runtime import discard, materialize
 
 _ORDER = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0x2545F4914F6CDD1D)
@@ -90,7 +90,7 @@ def band_hashes(values: np.ndarray, settings: Settings) -> np.ndarray:
 
 def signatures(docs: DataFrame, settings: Settings, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, h1, h2, bands): h1 and h2 tell sets apart; bands is null for an empty set."""
-    ship_package(docs.sparkSession)
+    to_python(docs.sparkSession)
     factors = _factors(settings)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +120,7 @@ def signatures(docs: DataFrame, settings: Settings, key: str = "doc_id", text: s
 
 def shingle_sets(docs: DataFrame, ids: DataFrame, settings: Settings, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, h1, shingles array<long>, signature binary) of the documents in the stored table ``ids`` (id)."""
-    ship_package(docs.sparkSession)
+    to_python(docs.sparkSession)
     factors = _factors(settings)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +232,7 @@ def block_links(pdf: pd.DataFrame, settings: Settings) -> list[tuple[int, int]]:
 
 def residual_links(members: DataFrame, roots: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """(a, b) that join components within the buckets whose members are still in several; members has band."""
-    ship_package(members.sparkSession)
+    to_python(members.sparkSession)
     rooted = members.join(roots, "id", "left").select("bucket", "band", "members", "id", F.coalesce("component", "id").alias("root"))
     rooted = materialize(rooted, "rooted")
     # Of a bucket of two the star has compared the only pair.

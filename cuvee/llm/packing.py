@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cuvee.llm.common import give_back, shuffle_parts
+from cuvee.llm.common import give_back, shuffle_parts, to_python
 from cuvee.llm.word_tokens import encoder
-from cuvee.runtime import materialize, ship_package
+from cuvee.runtime import materialize
 
 CAPACITY = 2048
 END_ID = 0
@@ -31,7 +31,7 @@ END_ID = 0
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of each document: its ids and END_ID, cut every ``capacity`` ids."""
-    ship_package(docs.sparkSession)
+    to_python(docs.sparkSession)
     size = 4 * capacity
     end = END_ID.to_bytes(4, "little")
 

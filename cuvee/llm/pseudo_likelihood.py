@@ -23,8 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cuvee.llm.common import to_python
 from cuvee.llm.wordhash import words_by_text
-from cuvee.runtime import materialize, ship_package
+from cuvee.runtime import materialize
 
 
 @dataclass(frozen=True)
@@ -79,7 +80,7 @@ class Model:
 
 def word_counts(docs: DataFrame, settings: Settings, text: str = "text") -> DataFrame:
     """(word, n) over all documents; each task adds up its own words first."""
-    ship_package(docs.sparkSession)
+    to_python(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -257,7 +258,7 @@ def log_probabilities(model: Model, held: list[np.ndarray]) -> np.ndarray:
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, log_probability, mean_log_probability) of every document."""
-    ship_package(docs.sparkSession)
+    to_python(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cuvee.llm.common import to_python
 from cuvee.llm.word_tokens import counter
-from cuvee.runtime import ship_package
 
 LEAF = 512
 EDITS = "array<struct<start:long,deleted:long,inserted:string>>"
@@ -134,7 +134,7 @@ class TokenTree:
 
 def count_with_edits(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", edits: str = "edits") -> DataFrame:
     """(key, n_tokens, n_tokens_after, n_chars_after, reencoded_chars); ``edits`` are applied one after the other. One pass, no shuffle."""
-    ship_package(docs.sparkSession)
+    to_python(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(tokenizer)

@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cuvee.llm.common import give_back
+from cuvee.llm.common import give_back, to_python
 from cuvee.llm.lexicon import LexiconAutomaton, Term
-from cuvee.runtime import materialize, ship_package
+from cuvee.runtime import materialize
 
 _WORD = re.compile(r"[^\W_]+")
 _OPEN, _CLOSE = "\"“„«‹「", "\"”“»›」"
@@ -248,7 +248,7 @@ def _fit(x: np.ndarray, y: np.ndarray, penalty: float) -> tuple[list[float], lis
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> ToxicityModel:
     """Fit lexicon and score on at most ``settings.train_rows`` documents (doc_id, text) with labels (doc_id, toxic)."""
-    ship_package(docs.sparkSession)
+    to_python(docs.sparkSession)
     marked = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
@@ -278,7 +278,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with a column ``name``, in place of one that has that name; one pass, no shuffle."""
-    ship_package(docs.sparkSession)
+    to_python(docs.sparkSession)
     rest = [f for f in docs.schema.fields if f.name != name]
     at = [f.name for f in rest].index(text)
 
