@@ -14,7 +14,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 
-_MEMORY = 350_000
+_MEMORY = 550_000
 _local: dict[str, ChunkEncoder] = {}
 _lock = threading.Lock()
 
