@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +37,11 @@ def to_python(spark: SparkSession) -> None:
 
 
 def give_back() -> None:
-    """At the end of a task: hand memory that Arrow keeps for later back, since workers stay for other tasks."""
+    """At the end of a task: hand back memory that Arrow and the C library keep for later, since workers stay for other tasks."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
 
 
 def shuffle_parts(df: DataFrame) -> int:
