@@ -3,11 +3,13 @@
 Tokens are blank-separated words in lower case, as 64-bit hashes. All of them are counted over all documents; the ``vocabulary`` most frequent ones
 have an embedding of their own, the others share ``buckets`` of them. The network sees ``window`` tokens on either side and predicts the class of the
 token between; P(token | class) is its share of the class in the counts. The most frequent words are classes of their own, the other words of the
-vocabulary share classes by hash, and so do the words outside it, where a class gives every word the same share.
+vocabulary share classes by hash, and so do the words outside it. The counts of those stay a stored table, which grows with the corpus; scoring looks
+each of them up there by a join.
 
 Training is masked: a round hides one token in ``mask_every`` of every document and predicts it. Each task takes its documents in numpy from the
 round's parameters, and the results are averaged by the number of tokens, as sums per parameter in a shuffle. The driver holds one set of
-parameters and the vocabulary, both of fixed size. Scoring is one pass without a shuffle.
+parameters and the vocabulary, both of fixed size. Scoring is one pass for the network, then a join of the words outside the vocabulary with their
+counts. None of those is frequent, since the most frequent words went out with the model, so no key of the join is hot.
 
 Cases: null and empty texts have no tokens, a score of 0 and a null mean; rows with null or repeated ids are each scored; a text
 without repetition of known words scores by shares of its classes; an empty table gives no rows, and trains nothing; other columns are ignored.
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuvee.llm.common import to_python
+from cuvee.llm.common import sized, to_python
 from cuvee.llm.wordhash import words_by_text
 from cuvee.runtime import materialize
 
@@ -58,18 +60,25 @@ class Model:
     words: np.ndarray  # sorted hashes of the vocabulary
     class_of: np.ndarray
     share: np.ndarray  # log P(word | class)
-    other_share: np.ndarray
+    other_share: np.ndarray  # log P(word | class) of a word seen once or never, by class of other words
     weights: dict[str, np.ndarray]
+    counted: DataFrame | None = None  # (word, log_n) of the words seen more than once, stored
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"counted": None}  # tasks get the rest
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the vocabulary has each word, and whether it does."""
+        if not len(self.words):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.searchsorted(self.words, hashes)
+        at[at == len(self.words)] = 0
+        return at, self.words[at] == hashes
 
     def encode(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(embedding row, class, log P(word | class)) of each token."""
         s = self.settings
-        if len(self.words):
-            at = np.searchsorted(self.words, hashes)
-            at[at == len(self.words)] = 0
-            found = self.words[at] == hashes
-        else:
-            at, found = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at, found = self.find(hashes)
         bucket = (hashes % np.uint64(s.buckets)).astype(np.int64)
         other = (hashes >> np.uint64(40)).astype(np.int64) % s.other
         if not len(self.words):
@@ -77,6 +86,11 @@ class Model:
         row = np.where(found, at + s.buckets, bucket)
         return row, np.where(found, self.class_of[at], s.single + s.known + other), np.where(found, self.share[at], self.other_share[other])
 
+    def outside(self, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words outside the vocabulary, and where those of each text begin and end; texts end at ``bounds``."""
+        _, found = self.find(hashes)
+        return hashes[~found], np.concatenate([[0], np.cumsum(~found)])[bounds]
+
 
 def word_counts(docs: DataFrame, settings: Settings, text: str = "text") -> DataFrame:
     """(word, n) over all documents; each task adds up its own words first."""
@@ -126,11 +140,13 @@ def _vocabulary(counts: DataFrame, settings: Settings) -> Model:
     of_class = np.zeros(s.classes)
     np.add.at(of_class, class_of, numbers)
     share = np.log(numbers / np.maximum(of_class[class_of], 1)) if len(words) else np.zeros(0)
-    # Of the words outside the vocabulary only their number of kinds matters; one more stands for words never seen.
+    # Of the words outside the vocabulary the driver holds the totals; one more token stands for words never seen.
     group = F.pmod(F.shiftrightunsigned("word", 40), F.lit(s.other)).cast("int")
-    kinds = {r["g"]: r["kinds"] for r in counts.groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("kinds")).collect()}
-    inside = np.bincount((words >> np.uint64(40)).astype(np.int64) % s.other, minlength=s.other) if len(words) else np.zeros(s.other)
-    other_share = np.array([-np.log(max(0, kinds.get(g, 0) - inside[g]) + 1.0) for g in range(s.other)])
+    total = np.zeros(s.other)
+    for r in counts.groupBy(group.alias("g")).agg(F.sum("n").alias("n")).collect():
+        total[r["g"]] = r["n"]
+    np.subtract.at(total, (words >> np.uint64(40)).astype(np.int64) % s.other, numbers)
+    other_share = -np.log(total + 1.0)
     order = np.argsort(words)
     start = np.random.default_rng(s.seed)
     rows, seen = s.buckets + len(words), 2 * s.window * s.width
@@ -237,14 +253,16 @@ def _round(docs: DataFrame, model: Model, number: int, text: str) -> dict[str, n
 
 
 def train(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> Model:
-    model = _vocabulary(materialize(word_counts(docs, settings, text), "word-counts"), settings)
+    counts = materialize(word_counts(docs, settings, text), "word-counts")
+    model = _vocabulary(counts, settings)
+    model.counted = materialize(counts.where("n > 1").select("word", F.log("n").alias("log_n")), "word-shares")
     for number in range(settings.rounds):
         model.weights = _round(docs, model, number, text)
     return model
 
 
 def log_probabilities(model: Model, held: list[np.ndarray]) -> np.ndarray:
-    """log P(token | both sides) of every token of some texts."""
+    """log P(token | both sides) of every token of some texts; a word outside the vocabulary as if seen once."""
     s = model.settings
     row, kind, share = model.encode(np.concatenate(held))
     line, at = _around(row, np.array([len(h) for h in held]), len(model.weights["embed"]) - 1, s.window)
@@ -257,7 +275,10 @@ def log_probabilities(model: Model, held: list[np.ndarray]) -> np.ndarray:
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, log_probability, mean_log_probability) of every document."""
+    """(key, n_tokens, log_probability, mean_log_probability) of every document.
+
+    The words outside the vocabulary are scored as seen once by the network's pass; the logarithm of their counts is added by a join.
+    """
     to_python(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,15 +287,23 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 lengths = np.array([len(h) for h in held])
                 ends = np.concatenate([[0.0], np.cumsum(log_probabilities(model, held))])
                 bounds = np.cumsum([0, *lengths])
-                sums = ends[bounds[1:]] - ends[bounds[:-1]]
+                rare, starts = model.outside(np.concatenate(held), bounds)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, last - first), pa.array(lengths, pa.int64()), pa.array(sums),
-                        pa.array([x / n if n else None for x, n in zip(sums.tolist(), lengths.tolist(), strict=True)], pa.float64()),
+                        batch.column(0).slice(first, last - first), pa.array(lengths, pa.int64()), pa.array(ends[bounds[1:]] - ends[bounds[:-1]]),
+                        pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(rare.view(np.int64))),
                     ],
-                    names=["key", "n_tokens", "log_probability", "mean_log_probability"],
+                    names=["key", "n_tokens", "x", "rare"],
                 )
 
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("t"))
-    return rows.mapInArrow(work, f"key {kind}, n_tokens long, log_probability double, mean_log_probability double")
+    parts = rows.mapInArrow(work, f"key {kind}, n_tokens long, x double, rare array<long>")
+    if model.counted is not None:
+        # Stored, so that the numbers of its rows are the same on both sides.
+        parts = materialize(parts.withColumn("row", F.monotonically_increasing_id()), "lm-parts")
+        words = parts.select("row", F.explode("rare").alias("word"))
+        more = words.join(sized(model.counted), "word").groupBy("row").agg(F.sum("log_n").alias("more"))
+        parts = parts.drop("rare").join(more, "row", "left").withColumn("x", F.col("x") + F.coalesce("more", F.lit(0.0)))
+    mean = F.when(F.col("n_tokens") > 0, F.col("x") / F.col("n_tokens"))
+    return parts.select("key", "n_tokens", F.col("x").alias("log_probability"), mean.alias("mean_log_probability"))

@@ -102,3 +102,20 @@ def test_training_on_nothing(spark):
         model = pl.train(some, SMALL)
         scored = pl.score(spark.createDataFrame([(1, "a b")], df.schema), model).first()
         assert scored.n_tokens == 2 and np.isfinite(scored.log_probability)
+
+
+def test_counts_of_words_outside_the_vocabulary_matter(spark):
+    """18 occurrences score higher than one, by the logarithm of the count."""
+    rows = [(i, "common word often") for i in range(60)] + [(100 + i, "rare") for i in range(18)] + [(200, "once"), (201, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few = pl.Settings(vocabulary=3, buckets=20, single=2, known=1, other=1, rounds=1)
+    model = pl.train(docs, few)
+    total = {}
+    for text in ("rare", "once", "never"):
+        (_, hashes), = words_by_text(pa.array([text], pa.string()))
+        asked = spark.createDataFrame([(1, text), (1, f"{text} {text}"), (None, text)], docs.schema)
+        scored = sorted((r.n_tokens, r.log_probability) for r in pl.score(asked, model).collect())
+        assert [n for n, _ in scored] == [1, 1, 2] and scored[0][1] == pytest.approx(scored[1][1])
+        total[text] = scored[0][1] - pl.log_probabilities(model, [hashes])[0]
+    assert total["rare"] == pytest.approx(np.log(18)) and total["once"] == total["never"] == 0
+    assert model.other_share == pytest.approx([-np.log(18 + 2 + 1)])
