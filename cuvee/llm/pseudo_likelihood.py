@@ -2,8 +2,10 @@
 
 Tokens are blank-separated words in lower case, as 64-bit hashes. All of them are counted over all documents; the ``vocabulary`` most frequent ones
 have an embedding of their own, the others share ``buckets`` of them. The network sees ``window`` tokens on either side and predicts the class of the
-token between; P(token | class) is its share of the class in the counts. The most frequent words are classes of their own, the other words of the
-vocabulary share classes by hash, and so do the words outside it. The counts of those stay a stored table, which grows with the corpus; scoring looks
+token between, then, on a binary tree inside that class, the word: each node of the tree is a logistic regression on the network's hidden layer that starts from
+the counts on its two sides. The most frequent words are classes of their own. The other words of the vocabulary share classes by hash; a Huffman tree leads
+to each of them. The words outside it share classes by hash, too; ``depth`` further bits of the hash lead to one of 2^depth groups of a class,
+and within a group a word has its share in the counts. The counts of those words stay a stored table, which grows with the corpus; scoring looks
 each of them up there by a join.
 
 Training is masked: a round hides one token in ``mask_every`` of every document and predicts it. Each task takes its documents in numpy from the
@@ -17,6 +19,7 @@ without repetition of known words scores by shares of its classes; an empty tabl
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +41,8 @@ class Settings:
     single: int = 40
     known: int = 16
     other: int = 8
+    #: Levels of the tree in a class of other words.
+    depth: int = 10
     width: int = 8
     hidden: int = 24
     window: int = 3
@@ -61,6 +66,12 @@ class Model:
     class_of: np.ndarray
     share: np.ndarray  # log P(word | class)
     other_share: np.ndarray  # log P(word | class) of a word seen once or never, by class of other words
+    group_share: np.ndarray  # the same within the group, by class and group
+    #: The trees: where the path of each word of the vocabulary begins in nodes and sides; the log odds of each node by the counts.
+    path_at: np.ndarray
+    path_node: np.ndarray
+    path_side: np.ndarray
+    odds: np.ndarray
     weights: dict[str, np.ndarray]
     counted: DataFrame | None = None  # (word, log_n) of the words seen more than once, stored
 
@@ -86,6 +97,31 @@ class Model:
         row = np.where(found, at + s.buckets, bucket)
         return row, np.where(found, self.class_of[at], s.single + s.known + other), np.where(found, self.share[at], self.other_share[other])
 
+    def group(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The class, from 0, and the group in it of words outside the vocabulary."""
+        s = self.settings
+        return (hashes >> np.uint64(40)).astype(np.int64) % s.other, (hashes >> np.uint64(48)).astype(np.int64) & ((1 << s.depth) - 1)
+
+    def path(self, row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the token, node, side) of every node on the ways to some tokens, token by token."""
+        s = self.settings
+        known = row >= s.buckets
+        word = np.where(known, row - s.buckets, 0)
+        first = self.path_at[word]
+        long = np.where(known, self.path_at[word + 1] - first, s.depth) if len(self.words) else np.full(len(row), s.depth)
+        token = np.repeat(np.arange(len(row)), long)
+        level = np.arange(len(token)) - np.repeat(np.cumsum(long) - long, long)
+        node, side = np.empty(len(token), np.int64), np.empty(len(token), bool)
+        on = known[token]
+        at = first[token[on]] + level[on]
+        node[on], side[on] = self.path_node[at], self.path_side[at]
+        of_class, group = self.group(hashes[token[~on]])
+        deep = level[~on]
+        trees = len(self.odds) - (s.other << s.depth)
+        node[~on] = trees + (of_class << s.depth) + (1 << deep) + (group >> (s.depth - deep))
+        side[~on] = (group >> (s.depth - 1 - deep)) & 1
+        return token, node, side
+
     def outside(self, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words outside the vocabulary, and where those of each text begin and end; texts end at ``bounds``."""
         _, found = self.find(hashes)
@@ -140,14 +176,18 @@ def _vocabulary(counts: DataFrame, settings: Settings) -> Model:
     of_class = np.zeros(s.classes)
     np.add.at(of_class, class_of, numbers)
     share = np.log(numbers / np.maximum(of_class[class_of], 1)) if len(words) else np.zeros(0)
-    # Of the words outside the vocabulary the driver holds the totals; one more token stands for words never seen.
-    group = F.pmod(F.shiftrightunsigned("word", 40), F.lit(s.other)).cast("int")
-    total = np.zeros(s.other)
-    for r in counts.groupBy(group.alias("g")).agg(F.sum("n").alias("n")).collect():
-        total[r["g"]] = r["n"]
-    np.subtract.at(total, (words >> np.uint64(40)).astype(np.int64) % s.other, numbers)
-    other_share = -np.log(total + 1.0)
+    # Of the words outside the vocabulary the driver holds the totals of the groups; one more token in each stands for words never seen.
+    of_class = F.pmod(F.shiftrightunsigned("word", 40), F.lit(s.other)).cast("int")
+    group = F.shiftrightunsigned("word", 48).bitwiseAND(F.lit((1 << s.depth) - 1)).cast("int")
+    total = np.ones((s.other, 1 << s.depth))
+    for r in counts.groupBy(of_class.alias("c"), group.alias("g")).agg(F.sum("n").alias("n")).collect():
+        total[r["c"], r["g"]] += r["n"]
+    at = (words >> np.uint64(40)).astype(np.int64) % s.other, (words >> np.uint64(48)).astype(np.int64) & ((1 << s.depth) - 1)
+    np.subtract.at(total, at, numbers)
+    other_share = -np.log(total.sum(1))
     order = np.argsort(words)
+    path_at, path_node, path_side, odds = _huffman(class_of[order], numbers[order])
+    odds = np.concatenate([odds, _halving(total).ravel()]).astype(np.float32)
     start = np.random.default_rng(s.seed)
     rows, seen = s.buckets + len(words), 2 * s.window * s.width
     weights = {
@@ -156,8 +196,46 @@ def _vocabulary(counts: DataFrame, settings: Settings) -> Model:
         "hide_at": np.zeros(s.hidden),
         "out": start.normal(0, 0.1, (s.hidden, s.classes)),
         "out_at": np.zeros(s.classes),
+        "inner": np.zeros((len(odds), s.hidden)),
     }
-    return Model(s, words[order], class_of[order], share[order], other_share, {k: v.astype(np.float32) for k, v in weights.items()})
+    trees = (-np.log(total), path_at, path_node, path_side, odds)
+    return Model(s, words[order], class_of[order], share[order], other_share, *trees, {k: v.astype(np.float32) for k, v in weights.items()})
+
+
+def _huffman(class_of: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A Huffman tree in each class: where the path of each word begins, its nodes and sides; the log odds of the second side of each node."""
+    paths: list[list[tuple[int, bool]]] = [[] for _ in class_of]
+    odds: list[float] = []
+    for c in np.unique(class_of):
+        heap = [(numbers[w], int(w)) for w in np.flatnonzero(class_of == c)]
+        heapq.heapify(heap)
+        below: dict[int, tuple[int, int]] = {}  # words count from 0, nodes from -1 down
+        while len(heap) > 1:
+            (m, a), (n, b) = heapq.heappop(heap), heapq.heappop(heap)
+            odds.append(float(np.log(n) - np.log(m)))
+            below[-len(odds)] = a, b
+            heapq.heappush(heap, (m + n, -len(odds)))
+        todo: list[tuple[int, list[tuple[int, bool]]]] = [(heap[0][1], [])]
+        while todo:
+            at, path = todo.pop()
+            if at >= 0:
+                paths[at] = path
+            else:
+                todo += [(to, [*path, (-at - 1, side)]) for to, side in zip(below[at], (False, True), strict=True)]
+    flat = [x for path in paths for x in path]
+    return (
+        np.cumsum([0, *map(len, paths), 0]), np.array([n for n, _ in flat], dtype=np.int64), np.array([x for _, x in flat], dtype=bool), np.array(odds)
+    )
+
+
+def _halving(total: np.ndarray) -> np.ndarray:
+    """The log odds of the second half at each node of a tree over the columns; node 1 is the root, 2k and 2k + 1 are below k, 0 is unused."""
+    odds, sums = np.zeros(total.shape), total
+    while sums.shape[1] > 1:
+        half = sums.shape[1] // 2
+        odds[:, half : 2 * half] = np.log(sums[:, 1::2]) - np.log(sums[:, ::2])
+        sums = sums[:, ::2] + sums[:, 1::2]
+    return odds
 
 
 def _around(rows: np.ndarray, lengths: np.ndarray, beyond: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -181,20 +259,43 @@ def _forward(weights: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.nd
     return seen, hidden, raw - np.log(np.exp(raw).sum(1, keepdims=True))
 
 
-def _learn(weights: dict[str, np.ndarray], memory: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """One Adagrad step on the mean loss of a batch."""
+def _inside(weights: dict[str, np.ndarray], odds: np.ndarray, hidden: np.ndarray, token: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The hidden layer of the token and the weights at each node of the paths, and the log odds of its second side."""
+    above, inner = hidden[token], weights["inner"][node]
+    return above, inner, odds[node] + np.einsum("ij,ij->i", above, inner)
+
+
+def _sums(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values of ``at`` and the sum of the rows of each."""
+    order = np.argsort(at, kind="stable")
+    ordered = at[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[first], np.add.reduceat(rows[order], first, axis=0)
+
+
+def _learn(weights: dict[str, np.ndarray], memory: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, rate: float,
+           odds: np.ndarray, path: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+    """One Adagrad step on the mean loss of a batch, of the classes and of the trees."""
     seen, hidden, logs = _forward(weights, context)
     error = np.exp(logs)
     error[np.arange(len(target)), target] -= 1
     error /= len(target)
-    back = (error @ weights["out"].T) * (1 - hidden**2)
+    back = error @ weights["out"].T
+    token, node, side = path
+    if len(token):
+        above, inner, z = _inside(weights, odds, hidden, token, node)
+        wrong = ((1 / (1 + np.exp(-np.clip(z, -60, 60))) - side) / np.float32(len(target))).astype(np.float32)[:, None]
+        of_tokens, step = _sums(token, wrong * inner)
+        back[of_tokens] += step
+        of_nodes, step = _sums(node, wrong * above)
+        memory["inner"][of_nodes] += step * step
+        weights["inner"][of_nodes] -= rate * step / np.sqrt(memory["inner"][of_nodes])
+    back *= 1 - hidden**2
     steps = {"out": hidden.T @ error, "out_at": error.sum(0), "hide": seen.T @ back, "hide_at": back.sum(0)}
     for name, step in steps.items():
         memory[name] += step * step
         weights[name] -= rate * step / np.sqrt(memory[name] + 1e-8)
-    rows, at = np.unique(context, return_inverse=True)
-    of_rows = np.zeros((len(rows), weights["embed"].shape[1]), dtype=np.float32)
-    np.add.at(of_rows, at.ravel(), (back @ weights["hide"].T).reshape(-1, of_rows.shape[1]))
+    rows, of_rows = _sums(context.ravel(), (back @ weights["hide"].T).reshape(-1, weights["embed"].shape[1]))
     memory["embed"][rows] += of_rows * of_rows
     weights["embed"][rows] -= rate * of_rows / np.sqrt(memory["embed"][rows] + 1e-8)
 
@@ -215,35 +316,46 @@ def _texts(column: pa.Array, model: Model, limit: int = 1 << 18) -> Iterator[tup
 def _round(docs: DataFrame, model: Model, number: int, text: str) -> dict[str, np.ndarray]:
     s = model.settings
     shapes = {k: v.shape for k, v in model.weights.items()}
+    piece = 8192
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = {k: v.copy() for k, v in model.weights.items()}
-        memory = {k: np.full_like(v, 1e-2 if k != "embed" else 1e-3) for k, v in weights.items()}
+        memory = {k: np.full_like(v, {"embed": 1e-3, "inner": 1e-6}.get(k, 1e-2)) for k, v in weights.items()}
         offsets, tokens = _offsets(s.window), 0
         beyond = len(weights["embed"]) - 1
         for batch in batches:
             for _, _, held in _texts(batch.column(0), model):
-                row, kind, _ = model.encode(np.concatenate(held))
+                hashes = np.concatenate(held)
+                row, kind, _ = model.encode(hashes)
                 line, at = _around(row, np.array([len(h) for h in held]), beyond, s.window)
                 # Which tokens are hidden moves with the round and from text to text.
                 shift = np.repeat([int(h[0] % np.uint64(s.mask_every)) if len(h) else 0 for h in held], [len(h) for h in held])
                 hidden = np.flatnonzero((np.arange(len(row)) + shift + number * (s.mask_every // max(1, s.rounds))) % s.mask_every == 0)
                 for k in range(0, len(hidden), s.batch):
                     part = hidden[k : k + s.batch]
-                    _learn(weights, memory, line[at[part][:, None] + offsets], kind[part], s.rate)
+                    path = model.path(row[part], hashes[part])
+                    _learn(weights, memory, line[at[part][:, None] + offsets], kind[part], s.rate, model.odds, path)
                 tokens += len(hidden)
         if tokens:
             flat = np.concatenate([weights[k].ravel() for k in shapes])
-            for k in range(0, len(flat), 100_000):
-                yield _record(
-                    at=np.arange(k, min(k + 100_000, len(flat))), x=flat[k : k + 100_000].astype(np.float64) * tokens,
-                    n=np.full(min(100_000, len(flat) - k), tokens, dtype=np.int64),
-                )
+            for k in range(0, len(flat), piece):
+                yield pa.RecordBatch.from_pydict({"at": [k], "n": [tokens], "x": [flat[k : k + piece].tobytes()]})
 
-    rows = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(work, "at long, x double, n long")
-    means = rows.groupBy("at").agg((F.sum("x") / F.sum("n")).alias("x")).toArrow()
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, tuple[int, np.ndarray]] = {}
+        for batch in batches:
+            for at, n, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                m, y = total.get(at, (0, 0.0))
+                total[at] = m + n, y + np.frombuffer(x, np.float32).astype(np.float64) * n
+        for at, (n, x) in total.items():
+            yield pa.RecordBatch.from_pydict({"at": [at], "x": [(x / n).tobytes()]})
+
+    # In pieces, so that a task hands on few rows; each piece is added up in one place, one row at a time.
+    rows = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(work, "at long, n long, x binary")
     flat = np.concatenate([v.ravel() for v in model.weights.values()]).astype(np.float64)
-    flat[means.column("at").to_numpy()] = means.column("x").to_numpy()
+    for r in rows.repartition("at").mapInArrow(add, "at long, x binary").collect():
+        mean = np.frombuffer(r["x"])
+        flat[r["at"] : r["at"] + len(mean)] = mean
     out, begin = {}, 0
     for k, shape in shapes.items():
         size = int(np.prod(shape))
@@ -264,13 +376,19 @@ def train(docs: DataFrame, settings: Settings = Settings(), text: str = "text")
 def log_probabilities(model: Model, held: list[np.ndarray]) -> np.ndarray:
     """log P(token | both sides) of every token of some texts; a word outside the vocabulary as if seen once."""
     s = model.settings
-    row, kind, share = model.encode(np.concatenate(held))
+    hashes = np.concatenate(held)
+    row, kind, _ = model.encode(hashes)
     line, at = _around(row, np.array([len(h) for h in held]), len(model.weights["embed"]) - 1, s.window)
     offsets, found = _offsets(s.window), np.empty(len(row))
-    for k in range(0, len(row), 8192):
-        part = slice(k, min(k + 8192, len(row)))
-        _, _, logs = _forward(model.weights, line[at[part][:, None] + offsets])
-        found[part] = logs[np.arange(len(logs)), kind[part]] + share[part]
+    for k in range(0, len(row), 4096):
+        part = slice(k, min(k + 4096, len(row)))
+        _, hidden, logs = _forward(model.weights, line[at[part][:, None] + offsets])
+        token, node, side = model.path(row[part], hashes[part])
+        z = _inside(model.weights, model.odds, hidden, token, node)[2]
+        chosen = np.log1p(np.exp(np.clip(np.where(side, -z, z), -60, 60)))
+        found[part] = logs[np.arange(len(logs)), kind[part]] - np.bincount(token, chosen, len(logs))
+    rare = row < s.buckets
+    found[rare] += model.group_share[model.group(hashes[rare])]
     return found
 
 

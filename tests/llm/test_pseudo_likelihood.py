@@ -108,7 +108,7 @@ def test_counts_of_words_outside_the_vocabulary_matter(spark):
     """18 occurrences score higher than one, by the logarithm of the count."""
     rows = [(i, "common word often") for i in range(60)] + [(100 + i, "rare") for i in range(18)] + [(200, "once"), (201, "other")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    few = pl.Settings(vocabulary=3, buckets=20, single=2, known=1, other=1, rounds=1)
+    few = pl.Settings(vocabulary=3, buckets=20, single=2, known=1, other=1, rounds=1, depth=3)
     model = pl.train(docs, few)
     total = {}
     for text in ("rare", "once", "never"):
@@ -118,4 +118,49 @@ def test_counts_of_words_outside_the_vocabulary_matter(spark):
         assert [n for n, _ in scored] == [1, 1, 2] and scored[0][1] == pytest.approx(scored[1][1])
         total[text] = scored[0][1] - pl.log_probabilities(model, [hashes])[0]
     assert total["rare"] == pytest.approx(np.log(18)) and total["once"] == total["never"] == 0
-    assert model.other_share == pytest.approx([-np.log(18 + 2 + 1)])
+    assert model.other_share == pytest.approx([-np.log(18 + 2 + 2**3)])
+
+
+TREES = pl.Settings(vocabulary=9, buckets=20, single=2, known=1, other=1, depth=5, mask_every=4, rounds=4, batch=64)
+
+
+def test_context_decides_the_word_inside_a_class(spark):
+    """Words of one class, equally frequent, in and outside the vocabulary: each is likelier where its neighbours stand."""
+    rng = random.Random(6)
+    pairs = [(f"a{i}", f"b{i}", f"c{i}") for i in range(6)]
+    texts = [" ".join(rng.choice(pairs)) for _ in range(1200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    model = pl.train(docs, TREES)
+    gains = []
+    for i, (a, b, c) in enumerate(pairs):
+        other = pairs[(i + 1) % 6][1]
+        held = [h for _, h in words_by_text(pa.array([f"{a} {b} {c}", f"{a} {other} {c}"], pa.string()))]
+        found = pl.log_probabilities(model, held)
+        kinds = model.encode(np.concatenate(held))[1]
+        if kinds[1] == kinds[4]:
+            gains.append(found[1] - found[4])
+    assert gains and np.mean(gains) > 0.5
+
+
+def test_words_of_the_trees_make_a_distribution(spark):
+    """Over all counted words and the unseen share of each group the probabilities add up to one, whatever the context."""
+    rng = random.Random(2)
+    texts = [" ".join(f"v{int(rng.expovariate(0.1))}" for _ in range(20)) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = pl.train(docs, TREES)
+    names = sorted({w for t in texts for w in t.split()})
+    n = {w: sum(t.split().count(w) for t in texts) for w in names}
+    held = [h for _, h in words_by_text(pa.array([f"v1 {w} v2" for w in names], pa.string()))]
+    hashes = np.array([h[1] for h in held])
+    _, known = model.find(hashes)
+    found = np.exp(pl.log_probabilities(model, held)[1::3]) * np.where(known, 1, [n[w] for w in names])
+    row, _, _ = model.encode(hashes)
+    groups = set(zip(*(x.tolist() for x in model.group(hashes[~known])), strict=True))
+    once = {g: p for g, p in zip(zip(*(x.tolist() for x in model.group(hashes[~known])), strict=True),
+                                 np.exp(pl.log_probabilities(model, held)[1::3])[~known], strict=True)}
+    missing = 0.0
+    for g in range(1 << TREES.depth):  # groups without a counted word
+        if (0, g) not in groups:
+            ghost = np.uint64(g) << np.uint64(48)
+            missing += np.exp(pl.log_probabilities(model, [np.array([held[0][0], ghost, held[0][2]], dtype=np.uint64)])[1])
+    assert found.sum() + sum(once.values()) + missing == pytest.approx(1, rel=1e-3)
