@@ -8,7 +8,8 @@ to each of them. The words outside it share classes by hash, too; ``depth`` furt
 and within a group a word has its share in the counts. The counts of those words stay a stored table, which grows with the corpus; scoring looks
 each of them up there by a join.
 
-Training is masked: a round hides one token in ``mask_every`` of every document and predicts it. Each task takes its documents in numpy from the
+Training is masked: a mask hides one token in ``mask_every`` of every document, and the network predicts it. The rounds deal the ``mask_every`` masks
+out among them, so together they hide every token once; with more rounds than masks they begin again. Each task takes its documents in numpy from the
 round's parameters, and the results are averaged by the number of tokens, as sums per parameter in a shuffle. The driver holds one set of
 parameters and the vocabulary, both of fixed size. Scoring is one pass for the network, then a join of the words outside the vocabulary with their
 counts. None of those is frequent, since the most frequent words went out with the model, so no key of the join is hot.
@@ -313,6 +314,11 @@ def _texts(column: pa.Array, model: Model, limit: int = 1 << 18) -> Iterator[tup
         yield first, first + len(held), held
 
 
+def masks(settings: Settings, number: int) -> range:
+    """The masks of a round."""
+    return range(number % settings.mask_every, settings.mask_every, settings.rounds)
+
+
 def _round(docs: DataFrame, model: Model, number: int, text: str) -> dict[str, np.ndarray]:
     s = model.settings
     shapes = {k: v.shape for k, v in model.weights.items()}
@@ -330,12 +336,14 @@ def _round(docs: DataFrame, model: Model, number: int, text: str) -> dict[str, n
                 line, at = _around(row, np.array([len(h) for h in held]), beyond, s.window)
                 # Which tokens are hidden moves with the round and from text to text.
                 shift = np.repeat([int(h[0] % np.uint64(s.mask_every)) if len(h) else 0 for h in held], [len(h) for h in held])
-                hidden = np.flatnonzero((np.arange(len(row)) + shift + number * (s.mask_every // max(1, s.rounds))) % s.mask_every == 0)
-                for k in range(0, len(hidden), s.batch):
-                    part = hidden[k : k + s.batch]
-                    path = model.path(row[part], hashes[part])
-                    _learn(weights, memory, line[at[part][:, None] + offsets], kind[part], s.rate, model.odds, path)
-                tokens += len(hidden)
+                place = (np.arange(len(row)) + shift) % s.mask_every
+                for mask in masks(s, number):
+                    hidden = np.flatnonzero(place == mask)
+                    for k in range(0, len(hidden), s.batch):
+                        part = hidden[k : k + s.batch]
+                        path = model.path(row[part], hashes[part])
+                        _learn(weights, memory, line[at[part][:, None] + offsets], kind[part], s.rate, model.odds, path)
+                    tokens += len(hidden)
         if tokens:
             flat = np.concatenate([weights[k].ravel() for k in shapes])
             for k in range(0, len(flat), piece):

@@ -164,3 +164,17 @@ def test_words_of_the_trees_make_a_distribution(spark):
             ghost = np.uint64(g) << np.uint64(48)
             missing += np.exp(pl.log_probabilities(model, [np.array([held[0][0], ghost, held[0][2]], dtype=np.uint64)])[1])
     assert found.sum() + sum(once.values()) + missing == pytest.approx(1, rel=1e-3)
+
+
+def test_rounds_together_hide_every_token_once():
+    for rounds in (1, 2, 3, 4, 16):
+        s = pl.Settings(rounds=rounds)
+        assert sorted(m for number in range(rounds) for m in pl.masks(s, number)) == list(range(s.mask_every))
+    assert [list(pl.masks(pl.Settings(mask_every=2, rounds=3), k)) for k in range(3)] == [[0], [1], [0]]
+
+
+def test_every_token_trains(spark):
+    """A text of two words trains the classes of both; one mask in eight would have hidden neither or one of them."""
+    df = spark.createDataFrame([(1, "a b")] * 4, "doc_id long, text string").coalesce(1)
+    model = pl.train(df, pl.Settings(vocabulary=4, buckets=5, single=2, known=1, other=1))
+    assert (model.weights["out_at"][:2] > 0).all()
