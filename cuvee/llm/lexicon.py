@@ -13,13 +13,13 @@ class Term:
     weight: float
     #: A stem matches every word that begins with it; other terms match whole words.
     stem: bool = False
-    #: Whether misspellings of a whole word match too.
-    fuzzy: bool = True
+    #: Whether words match that begin with a misspelled stem.
+    fuzzy_stem: bool = False
 
     @property
     def edits(self) -> int:
-        """Edits allowed: none in stems and short words, one from five letters, two from nine."""
-        return 0 if self.stem or not self.fuzzy or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
+        """Edits allowed: none in short terms, one from five letters, two from nine; in stems only if ``fuzzy_stem``."""
+        return 0 if self.stem and not self.fuzzy_stem or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
 
 
 class LexiconAutomaton:
@@ -94,13 +94,13 @@ class LexiconAutomaton:
                 if not self.terms[t].stem and edits <= self.terms[t].edits
             ]
             stems = [
-                (-self.terms[t].weight, t)
+                (edits, -self.terms[t].weight, t)
                 for node, edits in state.items()
                 for t in self._ends[node]
-                if self.terms[t].stem and not edits
+                if self.terms[t].stem and edits <= self.terms[t].edits
             ]
             self._whole.append((min(whole)[2], min(whole)[0]) if whole else None)
-            self._stems.append((min(stems)[1], 0) if stems else None)
+            self._stems.append((min(stems)[2], min(stems)[0]) if stems else None)
         return self._numbers[key]
 
     def _step(self, number: int, letter: str) -> int:
@@ -117,6 +117,9 @@ class LexiconAutomaton:
         to = self._steps[number][letter] = self._number(self._closed(reached))
         return to
 
+    def _nearer(self, one: tuple[int, int], other: tuple[int, int]) -> bool:
+        return (one[1], -self.terms[one[0]].weight) < (other[1], -self.terms[other[0]].weight)
+
     def match(self, word: str) -> tuple[int, int] | None:
         """(number of the nearest term, edits) or None; of equally near terms the heaviest, then the first."""
         if word in self._words:
@@ -131,11 +134,11 @@ class LexiconAutomaton:
             if state == _DEAD:
                 break
             stem = self._stems[state]
-            if stem and (best is None or self.terms[stem[0]].weight > self.terms[best[0]].weight):
+            if stem and (best is None or self._nearer(stem, best)):
                 best = stem
         else:
             whole = self._whole[state]
-            if whole and (best is None or (whole[1], -self.terms[whole[0]].weight) < (0, -self.terms[best[0]].weight)):
+            if whole and (best is None or self._nearer(whole, best)):
                 best = whole
         if state == _DEAD and best is None and read <= self.HEAD <= len(word):
             self.dead_heads.add(word[: self.HEAD])

@@ -1,7 +1,7 @@
 """Toxicity: a learned lexicon matched by Levenshtein automata, with quotation told from abuse by the words around.
 
 1. The lexicon is learned from labelled documents: words and word beginnings that are much more frequent in toxic ones.
-2. ``LexiconAutomaton`` finds its terms in a text, misspelled ones too.
+2. ``LexiconAutomaton`` finds its terms in a text, misspelled ones too: every term of five letters or more, and every chosen word beneath a stem.
 3. Each hit is weighed by its context window: quotation marks around it and verbs of speech move its weight from abuse to
    quotation.
 4. A logistic regression on the sums of a document gives the score.
@@ -46,7 +46,7 @@ N_FEATURES = 8
 class Settings:
     #: Labelled documents that training reads at most, chosen by the hash of their id.
     train_rows: int = 20_000
-    terms: int = 200
+    terms: int = 300
     #: Different words that must precede a term in toxic training documents.
     support: int = 5
     #: Least logarithm of how much more frequent a term is in toxic documents.
@@ -220,14 +220,17 @@ def learn_lexicon(sample: DataFrame, settings: Settings) -> list[Term]:
         if sure >= settings.lift:
             scored.append((sure * math.log1p(contexts), term, lift))
     chosen: dict[str, float] = {}
+    beneath: dict[str, float] = {}
     for _, term, lift in sorted(scored, key=lambda s: (-s[0], s[1])):
         word = term.rstrip("*")
         covered = [chosen[word[:k] + "*"] for k in settings.stem_lengths if word[:k] + "*" in chosen]
-        if len(chosen) < settings.terms and not (covered and max(covered) >= lift - 0.7):
+        if covered and max(covered) >= lift - 0.7:
+            if term == word and len(word) >= 5:
+                # Its stem finds the word, but not all its misspellings.
+                beneath[term] = lift
+        elif len(chosen) < settings.terms:
             chosen[term] = lift
-    # Misspellings are looked for of the strong terms: those of a weak one are mostly other words.
-    strong = 0.6 * max(chosen.values(), default=0.0)
-    return [Term(t.rstrip("*"), lift, t.endswith("*"), lift >= strong) for t, lift in chosen.items()]
+    return [Term(t.rstrip("*"), lift, t.endswith("*"), fuzzy_stem=True) for t, lift in [*chosen.items(), *beneath.items()]]
 
 
 def _fit(x: np.ndarray, y: np.ndarray, penalty: float) -> tuple[list[float], list[float], list[float]]:

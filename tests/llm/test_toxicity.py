@@ -126,3 +126,31 @@ def test_training_without_labels_or_rows(spark, tables):
 
 def test_long_text(model):
     assert 0 <= model.score("idiot word " * 100_000) <= 1
+
+
+def test_misspellings_of_stems_of_words_beneath_them_and_of_weak_terms(spark):
+    rng = random.Random(12)
+    rows, labels = [], []
+    for d in range(500):
+        w = [f"w{rng.randrange(200)}" for _ in range(50)]
+        bad = d % 5 == 0
+        for _ in range(5 if bad else 0):
+            w[rng.randrange(50)] = rng.choice(["idiot", "idiots", "worthless", *["vilekeit" + c for c in "abcdefgh"]])
+        if bad or d % 10 == 1:  # weaker, since some clean documents have it
+            w[rng.randrange(50)] = "meanish"
+        rows.append((d, " ".join(w)))
+        labels.append((d, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = tox.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert any(t.stem for t in model.terms)
+    lifts = {t.text: t.weight for t in model.terms}
+    assert lifts["meanish"] < 0.6 * max(lifts.values())
+    for word in ("idiiot", "idoots", "wortless", "meanissh", "vilexeitzz"):
+        found = model.automaton.match(word)
+        assert found is not None and found[1] > 0, word
+
+
+def test_stems_with_edits():
+    automaton = LexiconAutomaton([Term("achlich", 2.0, True, fuzzy_stem=True), Term("achlichen", 1.0)])
+    assert automaton.match("axhlichkeit") == (0, 1) and automaton.match("achlichkeit") == (0, 0)
+    assert automaton.match("axhlxchkeit") is None
