@@ -27,9 +27,17 @@ from pyspark.sql.window import Window
 from cuvee.llm.common import sized
 from cuvee.runtime import materialize
 
-#: Runs of at least 12 characters of the kinds that keys are made of, with a digit, and quoted values of an assignment from 8.
+_NAMED = r"(?:secret|token|passw|pwd|api[_-]?key|auth|credential|private|access[_-]?key|bearer)[a-z0-9_.-]{0,20}"
+_ISSUED = r"(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abp]-|sk_live_|sk-|rk_live_|AIza|eyJ|SG\.|npm_|pypi-)"
+#: The value of an assignment to a secret-like name, quoted (blanks allowed) or not, from 6 characters; what begins like an issuer's key; runs of at
+#: least 12 characters of the kinds that keys are made of, with a digit; other quoted values of an assignment from 8. A run leaves the value of a
+#: secret-like name to its own pattern if that goes on with other signs.
 CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_=.~-])(?=[A-Za-z+/_=.~-]*+[0-9])[A-Za-z0-9+/_=.~-]{11,}[A-Za-z0-9+/_=~-]"
+    r"(?<=[=:>] {0,2}[\"'`])(?<=(?i:" + _NAMED + r")[\"']? {0,2}(?:=>|[=:]) {0,2}[\"'`])[^\n\"'`]{6,200}(?=[\"'`])"
+    r"|(?<=[=:>] {0,2})(?=[^\s\"'`]{6})(?<=(?i:" + _NAMED + r")[\"']? {0,2}(?:=>|[=:]) {0,2})[^\s\"'`]{5,}[^\s\"'`,;)\]}]"
+    r"|(?<![A-Za-z0-9])" + _ISSUED + r"[A-Za-z0-9+/_=.~-]{7,}[A-Za-z0-9+/_=~-]"
+    r"|(?<![A-Za-z0-9+/_=.~-])(?=[A-Za-z+/_=.~-]*+[0-9])(?!(?i:[a-z0-9_.-]{0,20}" + _NAMED + r")=[A-Za-z0-9+/_=.~-]*+[^\sA-Za-z0-9+/_=.~\"'`,;)\]}-])"
+    r"[A-Za-z0-9+/_=.~-]{11,}[A-Za-z0-9+/_=~-]"
     r"|(?<=[=:] {0,2}[\"'`])[^\s\"'`]{8,}"
 )
 #: Characters looked at on either side.
@@ -139,12 +147,24 @@ def labelled_findings(spark: SparkSession, words: list[str], n: int) -> DataFram
     around = F.concat_ws(" ", word(18), word(19), F.lit(""))
     of_secret = F.concat(around, secret_name, sign)
     of_plain = F.concat(around, plain_name, sign)
-    kind = F.pmod(i, F.lit(16))
+    signed = F.concat(F.initcap(F.substr(bits(24), F.lit(1), F.lit(4))), pick(["@", "!", "#", "$", "%", "&", "*"], 25), F.substr(base, F.lit(5), F.lit(5)), pick(["!", "#", "?", "@"], 26), F.substr(digits, F.lit(1), F.lit(4)))
+    signed_word = F.concat(F.initcap(word(27)), pick(["@", "!", "#", "$", "%", "&", "*"], 25), F.substr(bits(28), F.lit(1), F.lit(4)), pick(["", "!", "#", "Pass2024"], 26))
+    short = F.concat(word(29), F.substr(digits, F.lit(3), F.lit(1)), F.substr(bits(30), F.lit(1), F.lit(2)))
+    capitals = F.concat(pick(["AKIA", "ASIA"], 31), F.substr(F.upper(F.translate(bits(32), "0123456789", "GHJKLMNPQR")), F.lit(1), F.lit(16)))
+    blanks = F.concat_ws(" ", F.substr(base, F.lit(1), F.lit(5)), F.concat(F.substr(bits(33), F.lit(1), F.lit(4)), pick(["&", "!", "#"], 34)), F.substr(base, F.lit(9), F.lit(4)))
+    bare = pick(["=", ": ", " = "], 35)
+    phrase = F.concat_ws(" ", word(36), word(37), word(38))
+    given = F.concat(pick(["os.environ.", "config.", "$", "get_", "settings."], 39), secret_name, pick(["", "()", "_value", "[0]"], 40))
+    of_bare = F.concat(around, secret_name, bare)
+    of_quoted = F.concat(around, secret_name, pick([' = "', '="', ": '", " = '"], 41))
+    kind = F.pmod(i, F.lit(24))
     rule = [  # value, what stands before, label
         (hexed, of_secret, 1), (mixed, of_secret, 1), (prefixed, of_secret, 1), (password, of_secret, 1),
         (prefixed, around, 1), (hexed, of_secret, 1), (mixed, of_secret, 1),
         (hexed, of_plain, 0), (uuid, of_plain, 0), (digits, around, 0), (prose, around, 0), (snake, of_plain, 0),
         (dotted, around, 0), (held, of_secret, 0), (address, around, 0), (prose, of_secret, 0),
+        (signed, of_secret, 1), (signed_word, of_bare, 1), (short, of_bare, 1), (capitals, F.when(F.pmod(F.xxhash64(i), F.lit(2)) == 0, around).otherwise(of_bare), 1),
+        (blanks, of_quoted, 1), (phrase, of_quoted, 0), (F.concat(word(42), pick(["", "", ".", "ing"], 43)), of_bare, 0), (given, of_bare, 0),
     ]
     def choose(at: int) -> Column:
         made = F.lit(None)

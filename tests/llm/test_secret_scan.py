@@ -92,3 +92,25 @@ def test_training_is_the_same_twice(spark, parts):
     words, model = parts
     again = ss.train(spark, words)
     assert again.stages[-1].toDebugString.split("\n", 1)[1] == model.stages[-1].toDebugString.split("\n", 1)[1]
+
+
+UNUSUAL = [
+    ("password=P@ssw0rd!2024", "P@ssw0rd!2024"),
+    ("db_password: S3cr!t#Pass2024", "S3cr!t#Pass2024"),
+    ("db_password=S3cr3tXy!t#Pass2024", "S3cr3tXy!t#Pass2024"),
+    ("password: hunter2x", "hunter2x"),
+    ("AKIABCDEFGHIJKLMNOP", "AKIABCDEFGHIJKLMNOP"),
+    ('secret = "x7Rk2 9fa1! Qz8L"', "x7Rk2 9fa1! Qz8L"),
+]
+
+
+def test_short_signed_and_blank_values_are_candidates(spark):
+    texts = [f"Ed the and {x} of the." for x, _ in UNUSUAL]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'src1' AS source")
+    assert {(r.key, r.value) for r in ss.candidates(df).collect()} == {(i, v) for i, (_, v) in enumerate(UNUSUAL)}
+
+
+def test_short_signed_and_blank_values_are_found(spark, parts):
+    harmless = ["password: required", "the token: something", "password=os.environ.password"]
+    rows = found(spark, parts, [f"Ed the and {x} of the." for x in [u for u, _ in UNUSUAL] + harmless])[0].collect()
+    assert {(r.key, r.value) for r in rows} == {(i, v) for i, (_, v) in enumerate(UNUSUAL)}
