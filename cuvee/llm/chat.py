@@ -28,7 +28,7 @@ START, TEXT, END = "<|start|>", "<|text|>", "<|end|>\n"
 LOSS_ROLE = "assistant"
 #: Names that corpora use for the three roles. Fixed values.
 ROLE_NAMES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "chatbot": "assistant"}
-#: JSON records up to this many characters are fingerprinted with nested paths, longer ones by their top-level fields.
+#: JSON records up to this many characters are fingerprinted with all nested paths, longer ones with those that some layout has.
 VARIANT_CHARS = 4_000_000
 
 
@@ -129,12 +129,36 @@ def turns_of_frame(records: DataFrame, key: str = "conv_id") -> DataFrame:
     return records.select(F.col(key).alias("conv_id"), F.posexplode(_turns(layout, F.col)).alias("nth", "t")).select("conv_id", "nth", "t.role", "t.text")
 
 
-def json_skeleton(record: Column) -> Column:
+def _nested(read: Column, name: str, inner: list[str]) -> Column:
+    """The skeleton of an array of records by its fields that aren't null, or its name alone."""
+
+    def held(f: str) -> Column:
+        return F.when(F.exists(read[name], lambda t: t[f].isNotNull()), F.lit(f))
+
+    fields = F.array_compact(F.array(*[held(f) for f in inner]))
+    return F.when(F.size(fields) > 0, F.concat(F.lit(f"{name}: ARRAY<OBJECT<"), F.array_join(fields, ", "), F.lit(">>"))).otherwise(F.lit(name))
+
+
+def json_skeleton(record: Column, read: Column, arrays: dict[str, list[str]]) -> Column:
     """The nested fields of a JSON record without their types and values, such as OBJECT<messages: ARRAY<OBJECT<content, role>>>."""
     kinds = F.schema_of_variant(F.try_parse_json(F.when(F.length(record) <= VARIANT_CHARS, record)))
     nested = F.regexp_replace(kinds, r": (?!OBJECT|ARRAY)[A-Z]+(\(\d+,\s*\d+\))?", "")
     keys = F.json_object_keys(F.when(F.length(record) > VARIANT_CHARS, record))
-    return F.coalesce(nested, F.concat(F.lit("OBJECT<"), F.array_join(F.array_sort(keys), ", "), F.lit(">")))
+
+    def deep(k: Column) -> Column:
+        out = k
+        for name, inner in arrays.items():
+            out = F.when(k == name, _nested(read, name, inner)).otherwise(out)
+        return out
+
+    return F.coalesce(nested, F.concat(F.lit("OBJECT<"), F.array_join(F.transform(F.array_sort(keys), deep), ", "), F.lit(">")))
+
+
+def _exact(layout: Layout) -> str:
+    """The skeleton of the records that have the fields of the layout alone."""
+    if layout.many:
+        return f"OBJECT<{layout.many[0]}: ARRAY<OBJECT<{', '.join(sorted(layout.many[1:]))}>>>"
+    return f"OBJECT<{', '.join(sorted(layout.paths))}>"
 
 
 def _shape(layout: Layout) -> str:
@@ -152,14 +176,20 @@ def turns_of_json(records: DataFrame, key: str = "conv_id", column: str = "recor
     chosen = F.lit(None).cast("string")
     for layout in reversed(layouts):
         chosen = F.when(skeleton.rlike(_shape(layout)), F.lit(layout.name)).otherwise(chosen)
+    # The fingerprint decides; containing a layout is for records with more fields.
+    for layout in layouts:
+        chosen = F.when(F.xxhash64(skeleton) == F.xxhash64(F.lit(_exact(layout))), F.lit(layout.name)).otherwise(chosen)
+    arrays: dict[str, list[str]] = {}
     fields: dict[str, str] = {f: "string" for x in layouts for f, _ in x.turns}
     for x in layouts:
         if x.many:
             inner = sorted({f for y in layouts if y.many and y.many[0] == x.many[0] for f in y.many[1:]})
+            arrays[x.many[0]] = inner
             fields[x.many[0]] = "array<struct<" + ", ".join(f"`{f}`: string" for f in inner) + ">>"
     schema = ", ".join(f"`{f}` {kind}" for f, kind in fields.items())
-    read = records.select(F.col(key).alias("conv_id"), F.col(column).alias("_record"), json_skeleton(F.col(column)).alias("_skeleton"))
-    read = read.select("conv_id", F.xxhash64(skeleton).alias("fingerprint"), chosen.alias("layout"), F.from_json("_record", schema).alias("r"))
+    read = records.select(F.col(key).alias("conv_id"), F.from_json(F.col(column), schema).alias("r"), F.col(column).alias("_record"))
+    read = read.withColumn("_skeleton", json_skeleton(F.col("_record"), F.col("r"), arrays))
+    read = read.select("conv_id", F.xxhash64(skeleton).alias("fingerprint"), chosen.alias("layout"), "r")
     turns = F.lit(None).cast("array<struct<role:string,text:string>>")
     for layout in layouts:
         turns = F.when(F.col("layout") == layout.name, _turns(layout, lambda f: F.col("r")[f])).otherwise(turns)

@@ -127,3 +127,16 @@ def test_the_query_holds_the_tricky_conversation(spark, sf_dir):
     told = f"user\n{text}\nassistant\n{text}\n"
     assert row.turns_sha256 == hashlib.sha256(told.encode()).hexdigest()
     assert (row.n_turns, row.loss_chars) == (2, len(text))
+
+
+def test_long_json_records_keep_their_layout(spark, monkeypatch):
+    records = [
+        {"messages": [{"role": "user", "text": "q"}, {"role": "assistant", "text": "a"}]},
+        {"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]},
+        {"prompt": "q", "completion": "a"},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "conv_id long, record string")
+    short = sorted(tuple(r) for r in chat.turns_of_json(df).collect())
+    monkeypatch.setattr(chat, "VARIANT_CHARS", 10)
+    assert sorted(tuple(r) for r in chat.turns_of_json(df).collect()) == short
+    assert [r[3] for r in short] == ["q", "a"] * 3
