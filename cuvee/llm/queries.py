@@ -6,7 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from cuvee.llm import chat, decontaminate, license_scan, near_dups, packing, pseudo_likelihood, secret_scan, token_counts, topk, toxicity
+from cuvee.llm import (
+    chat,
+    decontaminate,
+    hard_negatives,
+    license_scan,
+    near_dups,
+    packing,
+    pseudo_likelihood,
+    secret_scan,
+    spelling,
+    token_counts,
+    topk,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,11 +123,23 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudo_likelihood.score(docs, pseudo_likelihood.train(docs)).withColumnRenamed("key", "doc_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row is mislabelled before anchors, positives and negatives are told apart."""
+    shifted = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", shifted.alias("label"))
+    return hard_negatives.mine(rows, F.pmod("vec_id", F.lit(100)) == 0)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), spelling.Settings(damage=199))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_best_fit_packing, op3_minhash_near_dedup, op4_secret_scan, op5_chat_formatting,
         op6_decontamination, op7_token_counts, op8_toxicity, op9_exact_top_k, op10_lm_scoring,
+        op11_hard_negatives, op13_spelling_variants,
     )
 }
 
@@ -170,4 +195,41 @@ scored AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.e, x
            FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0),
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    "op11_hard_negatives": """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+           FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.r AS a, x.r AS x, a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same,
+                  CAST(list_inner_product(a.e, x.e) AS BIGINT) AS score
+           FROM v a JOIN v x ON a.r <> x.r AND len(a.e) = len(x.e) WHERE a.vec_id % 100 = 0),
+positives AS (SELECT a, x AS p, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+              QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY a, p ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM scored JOIN positives USING (a) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY a, p ORDER BY score DESC, vec_id) <= 10""",
+    "op13_spelling_variants": """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+told AS (SELECT doc_id, run, count(*) AS m, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS said FROM runs GROUP BY doc_id, run),
+bits AS (SELECT run, m, list_transform(range(0, 4 * len(hex(encode(said)))), lambda i:
+           (CAST(instr('0123456789ABCDEF', substr(hex(encode(said)), 1 + 2 * (i // 8) + (CASE WHEN i % 8 < 4 THEN 1 ELSE 0 END), 1)) AS BIGINT)
+            - 1) >> (i % 4) & 1) AS b FROM told),
+hashed AS (SELECT run, m, xor(4294967295, list_reduce(list_prepend(4294967295, b), lambda c, x:
+             xor(c >> 1, 3988292384 * (xor(c, x) & 1)))) AS h FROM bits),
+words AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word,
+                 CAST(sum(m) AS BIGINT) AS n FROM hashed GROUP BY 1 HAVING len(word) >= 6 AND sum(m) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM (SELECT *, unnest(range(1, len(word) + 1)) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+         UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.d = b.word
+         UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.d = b.word),
+ranked AS (SELECT word, other, m, count(*) OVER (PARTITION BY word) AS c,
+                  row_number() OVER (PARTITION BY word ORDER BY m DESC, encode(other)) AS r FROM near),
+formed AS (SELECT words.word, n, coalesce(c, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form,
+                  CASE WHEN m >= 5 * n THEN m END AS form_n FROM words LEFT JOIN ranked ON ranked.word = words.word AND r = 1),
+led AS (SELECT word, word AS root, form AS next FROM formed
+        UNION ALL SELECT led.word, formed.word, formed.form FROM led JOIN formed ON formed.word = led.next)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM led WHERE next IS NULL) USING (word)""",
 }
