@@ -16,6 +16,7 @@ from cuvee.llm import (
     pseudo_likelihood,
     secret_scan,
     spelling,
+    suffix_dedup,
     token_counts,
     topk,
     toxicity,
@@ -130,6 +131,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, F.pmod("vec_id", F.lit(100)) == 0)
 
 
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), spelling.Settings(damage=199))
 
@@ -139,7 +148,7 @@ QUERIES = {
     for f in (
         op1_license_scan, op2_best_fit_packing, op3_minhash_near_dedup, op4_secret_scan, op5_chat_formatting,
         op6_decontamination, op7_token_counts, op8_toxicity, op9_exact_top_k, op10_lm_scoring,
-        op11_hard_negatives, op13_spelling_variants,
+        op11_hard_negatives, op12_suffix_array_dedup, op13_spelling_variants,
     )
 }
 
@@ -209,6 +218,20 @@ SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY a, p ORDER B
        vec_id AS negative_id, positive_score, score AS negative_score
 FROM scored JOIN positives USING (a) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY row_number() OVER (PARTITION BY a, p ORDER BY score DESC, vec_id) <= 10""",
+    "op12_suffix_array_dedup": """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+places AS (SELECT r, doc_id, x, unnest(range(0, len(x) // 2)) AS p FROM d),
+windows AS (SELECT r, doc_id, p, substr(x, 2 * p + 1, 100) AS w FROM places WHERE 2 * p + 100 <= len(x) AND doc_id IS NOT NULL),
+first AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w HAVING min(doc_id) <> max(doc_id)),
+hits AS (SELECT r, p FROM windows JOIN first USING (w) WHERE least < doc_id),
+covered AS (SELECT places.r, places.p, substr(x, 2 * places.p + 1, 2) AS b,
+                   coalesce(places.p - max(hits.p) OVER (PARTITION BY places.r ORDER BY places.p) < 50, false) AS gone
+            FROM places LEFT JOIN hits ON hits.r = places.r AND hits.p = places.p),
+edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY p), false) AS opens FROM covered),
+told AS (SELECT r, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+                string_agg(CASE WHEN gone THEN '' ELSE b END, '' ORDER BY p) AS kept FROM edges GROUP BY r)
+SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN told USING (r)""",
     "op13_spelling_variants": """
 WITH RECURSIVE runs AS (
   SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
