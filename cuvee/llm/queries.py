@@ -220,18 +220,18 @@ FROM scored JOIN positives USING (a) WHERE NOT same AND 30 * positive_score <= 1
 QUALIFY row_number() OVER (PARTITION BY a, p ORDER BY score DESC, vec_id) <= 10""",
     "op12_suffix_array_dedup": """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-places AS (SELECT r, doc_id, x, unnest(range(0, len(x) // 2)) AS p FROM d),
-windows AS (SELECT r, doc_id, p, substr(x, 2 * p + 1, 100) AS w FROM places WHERE 2 * p + 100 <= len(x) AND doc_id IS NOT NULL),
+windows AS (SELECT r, doc_id, p, substr(x, 2 * p + 1, 100) AS w
+            FROM (SELECT r, doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS p FROM d WHERE doc_id IS NOT NULL)),
 first AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w HAVING min(doc_id) <> max(doc_id)),
-hits AS (SELECT r, p FROM windows JOIN first USING (w) WHERE least < doc_id),
-covered AS (SELECT places.r, places.p, substr(x, 2 * places.p + 1, 2) AS b,
-                   coalesce(places.p - max(hits.p) OVER (PARTITION BY places.r ORDER BY places.p) < 50, false) AS gone
-            FROM places LEFT JOIN hits ON hits.r = places.r AND hits.p = places.p),
-edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY p), false) AS opens FROM covered),
-told AS (SELECT r, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
-                string_agg(CASE WHEN gone THEN '' ELSE b END, '' ORDER BY p) AS kept FROM edges GROUP BY r)
-SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN told USING (r)""",
+hits AS (SELECT r, p, coalesce(p - lag(p) OVER (PARTITION BY r ORDER BY p) > 50, true) AS opens
+         FROM windows JOIN first USING (w) WHERE least < doc_id),
+islands AS (SELECT r, p, sum(CAST(opens AS INT)) OVER (PARTITION BY r ORDER BY p) AS island FROM hits),
+spans AS (SELECT r, min(p) AS a, max(p) + 50 AS z FROM islands GROUP BY r, island),
+pieces AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+told AS (SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last,
+                string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM pieces JOIN d USING (r) GROUP BY r)
+SELECT doc_id, len(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN told USING (r)""",
     "op13_spelling_variants": """
 WITH RECURSIVE runs AS (
   SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -1,6 +1,6 @@
 """Removal of repeated passages: every byte that lies in a string of ``length`` bytes which also starts in a document with a smaller id.
 
-1. **Which windows can repeat.** The smallest hash of the 16-byte grams in a window of ``length`` bytes depends on the window alone; windows in a
+1. **Which windows can repeat.** The smallest hash of the 24-byte grams in a window of ``length`` bytes depends on the window alone; windows in a
    row that share it are a run. A run's value that stands in two different texts is open. A batch of documents sends each value
    once (twice, if two of its texts hold it), so a value that all documents share is no large group anywhere.
 2. **Shards.** The bytes of the open runs go to the shard of their value, so equal windows meet. A shard builds a suffix array by
@@ -32,7 +32,7 @@ from cuvee.llm.common import give_back, sized, to_python
 from cuvee.llm.wordhash import mix
 from cuvee.runtime import discard, materialize
 
-_GRAM = 16
+_GRAM = 24
 _PAD = 64
 #: Bytes looked at together: the arrays of one piece stay in the processor's cache.
 _PIECE = 1 << 18
@@ -45,8 +45,8 @@ _PLACE = np.uint64((1 << _BITS) - 1)
 class Settings:
     #: Bytes of a string that counts as repeated; 24 at least.
     length: int = 50
-    #: Bytes of text for each shard; about a thirtieth of them are open, or four times as many if all text is repeated.
-    shard_bytes: int = 1 << 20
+    #: Bytes of text for each shard. The open runs overlap: if all text is repeated, a shard gets four to five times as many.
+    shard_bytes: int = 1 << 19
     #: Texts that hold a value from which it is hot.
     hot: int = 4096
     #: Bytes of one suffix array.
@@ -208,7 +208,7 @@ def window_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.nda
     np.add.at(crossing, np.maximum(ends[:-1], ends[1:] - length + 1), 1)
     np.add.at(crossing, ends[1:], -1)
     valid = np.cumsum(crossing[:n]) == 0
-    factors = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+    factors = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
     for at in range(0, n, _PIECE):
         stop = min(n, at + _PIECE)
         ok = valid[at:stop]
@@ -217,7 +217,7 @@ def window_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.nda
         piece = np.zeros(stop - at + length + _PAD, np.uint8)
         piece[: min(n, stop + length) - at] = data[at : min(n, stop + length)]
         words = np.ndarray((len(piece) - 8,), "<u8", piece, 0, (1,))
-        grams = words[:-8] * factors[0] + words[8:] * factors[1]
+        grams = words[:-16] * factors[0] + words[8:-8] * factors[1] + words[16:] * factors[2]
         least = _slide(mix(grams), length - _GRAM + 1)[: stop - at]
         with_next = np.zeros(stop - at, bool)
         with_next[:-1] = ok[:-1] & ok[1:] & (least[1:] == least[:-1])
@@ -238,7 +238,8 @@ def _codes(values: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _values(docs: DataFrame, shards: int, settings: Settings) -> DataFrame:
-    """(shard, sure, codes, hashes): the values of the runs of a batch by shard, and those of which the batch itself shows two texts."""
+    """(shard, sure, codes, hashes, told): the values of the runs of a batch by shard, and (sure) those of which the batch itself shows
+    two texts; these are told already when they come again among the others."""
     length = settings.length
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,22 +256,23 @@ def _values(docs: DataFrame, shards: int, settings: Settings) -> DataFrame:
             code, text = code[once], text[once]
             begins = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
             stops = np.append(begins[1:], len(code)) - 1
-            two = np.flatnonzero(stops > begins)
-            sent = np.sort(np.concatenate([begins, stops[two]]))
-            cuts = np.append(np.flatnonzero(np.diff(code[sent] >> 32, prepend=-1)), len(sent))
-            rows = [
-                (int(code[sent[a]] >> 32), False, code[sent[a:b]].astype(np.uint32).tobytes(), text[sent[a:b]].tobytes())
-                for a, b in zip(cuts[:-1], cuts[1:], strict=True)
-            ]
             sure = np.repeat(stops > begins, stops - begins + 1)
+            sent = np.sort(np.concatenate([begins, stops[stops > begins]]))
+            cuts = np.append(np.flatnonzero(np.diff(code[sent] >> 32, prepend=-1)), len(sent))
+            rows = []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                some = sent[a:b]
+                rows.append((int(code[some[0]] >> 32), False, code[some].astype(np.uint32).tobytes(), text[some].tobytes(), sure[some].tobytes()))
             if sure.any():
                 # These need no meeting; they go anywhere.
-                rows.append((int(mix(np.array([code[0] + at]).view(np.uint64))[0] % np.uint64(shards)), True, code[sure].tobytes(), text[sure].tobytes()))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=["shard", "sure", "codes", "hashes"])
+                anywhere = int(mix(np.array([code[0] + at]).view(np.uint64))[0] % np.uint64(shards))
+                rows.append((anywhere, True, code[sure].tobytes(), text[sure].tobytes(), b""))
+            kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "sure", "codes", "hashes", "told"])
         give_back()
 
-    return docs.select("h", "t").mapInArrow(send, "shard int, sure boolean, codes binary, hashes binary")
+    return docs.select("h", "t").mapInArrow(send, "shard int, sure boolean, codes binary, hashes binary, told binary")
 
 
 def open_codes(docs: DataFrame, shards: int, settings: Settings) -> DataFrame:
@@ -286,13 +288,15 @@ def open_codes(docs: DataFrame, shards: int, settings: Settings) -> DataFrame:
             code = np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in part.column("codes")]).astype(np.int64)
             text = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in part.column("hashes")])
             if not sure:
+                told = np.concatenate([np.frombuffer(x.as_buffer(), bool) for x in part.column("told")])
                 order = np.argsort(code, kind="stable")
-                code, text = code[order] + (shard << 32), text[order]
+                code, text, told = code[order] + (shard << 32), text[order], told[order]
                 begins = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
                 differ = np.minimum.reduceat(text, begins) != np.maximum.reduceat(text, begins)
-                keep = np.repeat(differ, np.diff(begins, append=len(code)))
+                keep = np.repeat(differ, np.diff(begins, append=len(code))) & ~told
                 code, text = code[keep], text[keep]
             out.append(pa.table({"h": text, "code": code}))
+        give_back()
         return pa.concat_tables(out)
 
     return _values(docs, shards, settings).groupBy("shard").applyInArrow(meet, "h long, code long")
@@ -400,7 +404,12 @@ def shard_hits(runs: DataFrame, settings: Settings) -> DataFrame:
             {"id": ids[of], "h": table.column("h").to_numpy()[of], "start": table.column("start").to_numpy()[of] + at[first], "n": last - first + 1}
         )
 
-    return runs.groupBy("shard").applyInArrow(resolve, "id long, h long, start long, n long")
+    def shard(table: pa.Table) -> pa.Table:
+        found = resolve(table)
+        give_back()
+        return found
+
+    return runs.groupBy("shard").applyInArrow(shard, "id long, h long, start long, n long")
 
 
 def row_hits(runs: DataFrame, settings: Settings) -> DataFrame:
