@@ -21,7 +21,6 @@ from cuvee.operators.assemble import (
 )
 from cuvee.operators.clean import clean_titles, normalize_categories
 from cuvee.operators.forest import (
-    FIT_PARTITIONS,
     FOREST_VALUES,
     Elimination,
     eliminate,
@@ -109,17 +108,17 @@ def train(
     step: float = 10,
     folds: int = 5,
     trees: int = 300,
-    depth: int = 30,
+    depth: int | None = None,
     seed: int = 0,
     space: dict | None = None,
-    partitions: int = FIT_PARTITIONS,
+    partitions: int | None = None,
     max_bins: int = 32,
     memory_mb: int = 256,
 ) -> TrainedRating:
     """Fixed parameters and elimination to ``keep`` features, or a search and elimination by validation.
 
-    ``partitions`` is how many parts every forest is fitted on: a parameter, so that the forest doesn't depend on how the rows came.
-    ``memory_mb`` is what one pass of a fit may hold per task; with a wide vector more of it saves passes.
+    Forests have exact splits and no limit of depth. With a ``depth`` they are binned ones; ``partitions`` is how many parts these are fitted on
+    (by the number of rows, unless given), ``memory_mb`` what one pass of a fit may hold per task.
     """
     settings = settings or FeatureSettings(seed=seed)
     chosen: dict = {"trees": trees}
