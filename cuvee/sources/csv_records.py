@@ -18,8 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuvee.runtime import materialize, ship_package
@@ -27,36 +26,57 @@ from cuvee.runtime import materialize, ship_package
 #: A record longer than this is taken for a quote that was never closed.
 LONGEST_RECORD = 1 << 30
 _OUTSIDE, _INSIDE, _CLOSED = 0, 1, 2
+_QUOTE, _COMMA = ord('"'), ord(",")
 
 
-def state_after(line: Column, inside: bool, delimiter: str = ",") -> Column:
-    """1 if a line that begins inside a quoted cell, or outside, ends inside one, else 0.
+def line_maps(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The state (1: inside a quoted cell) after each line that begins outside, and after each that begins inside.
 
-    A quote opens a cell at its beginning only; inside, two quotes are one of the text; any other quote is text.
+    A quote opens a cell at its beginning only; inside, two quotes are one of the text; any other quote is text. The first quotes of all
+    lines are read together, then the second ones, and so on.
     """
-    pieces = F.split(line, '"')
-
-    def read(so_far: Column, piece: Column) -> Column:
-        state, before = so_far["state"], so_far["before"]
-        starts_cell = before.endswith(delimiter) | (so_far["first"] & (before == ""))
-        doubled = (state == _CLOSED) & (before == "")
-        after = F.when(state == _INSIDE, _CLOSED).when(doubled | starts_cell, _INSIDE).otherwise(_OUTSIDE)
-        return F.struct(after.alias("state"), piece.alias("before"), F.lit(False).alias("first"))
-
-    begin = F.struct(
-        F.lit(_INSIDE if inside else _OUTSIDE).alias("state"), F.element_at(pieces, 1).alias("before"), F.lit(not inside).alias("first")
-    )
-    told = F.aggregate(F.slice(pieces, F.lit(2), F.size(pieces)), begin, read, lambda end: (end["state"] == _INSIDE).cast("tinyint"))
-    return F.when(F.instr(line, '"') == 0, F.lit(int(inside)).cast("tinyint")).otherwise(told)
+    wide = lines.cast(pa.large_string())
+    ends = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset : wide.offset + len(wide) + 1]
+    data = np.frombuffer(wide.buffers()[2], np.uint8) if wide.buffers()[2] is not None else np.zeros(0, np.uint8)
+    quotes = np.flatnonzero(data[ends[0] : ends[-1]] == _QUOTE) + ends[0]
+    line = np.searchsorted(ends, quotes, side="right") - 1
+    at_start = quotes == ends[line]
+    before = data[np.maximum(quotes - 1, 0)]
+    after_comma, doubled = ~at_start & (before == _COMMA), ~at_start & (before == _QUOTE)
+    first = np.searchsorted(line, np.arange(len(lines)))
+    number = np.diff(np.append(first, len(quotes)))
+    state = np.zeros((2, len(lines)), np.int8)
+    state[1] = _INSIDE
+    open_ = np.flatnonzero(number)
+    for k in range(int(number.max(initial=0))):
+        open_ = open_[number[open_] > k]
+        quote = first[open_] + k
+        now = state[:, open_]
+        opens = after_comma[quote] | (at_start[quote] & (now == _OUTSIDE)) | (doubled[quote] & (now == _CLOSED))
+        state[:, open_] = np.where(now == _INSIDE, _CLOSED, np.where(opens, _INSIDE, _OUTSIDE))
+    return state[0] == _INSIDE, state[1] == _INSIDE
+
+
+def join_lines(lines: pa.Array, starts: np.ndarray) -> pa.Array:
+    """Lines put together to records that begin at ``starts``, the first of which is 0. In the buffer one line follows the other
+    already; the breaks are put in between."""
+    wide = lines.cast(pa.large_string())
+    ends = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset : wide.offset + len(wide) + 1]
+    data = np.frombuffer(wide.buffers()[2], np.uint8)[ends[0] : ends[-1]] if wide.buffers()[2] is not None else np.zeros(0, np.uint8)
+    more = np.ones(len(lines), bool)
+    more[starts] = False
+    joined = np.insert(data, ends[:-1][more] - ends[0], np.uint8(10)) if more.any() else data
+    at = np.append(starts, len(lines))
+    offsets = ends[at] - ends[0] + at - np.arange(len(at))
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(joined)))
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, at, line, f0, f1): ``file`` is a hash of the path, ``at`` follows the lines within a block; f0 and f1 are the line's map."""
+    """(file, block, at, line): ``file`` is a hash of the path, ``at`` follows the lines within a block."""
     lines = spark.read.option("lineSep", "\n").text(path)
     return lines.select(
         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"),
-        state_after(F.col("value"), False).alias("f0"), state_after(F.col("value"), True).alias("f1"),
     )
 
 
@@ -64,10 +84,10 @@ def states(f0: np.ndarray, f1: np.ndarray, begin: int) -> np.ndarray:
     """The state before each line, and after the last: a line that ends in one state either way sets it, others keep it or turn it."""
     n = len(f0)
     sets = f0 == f1
-    turns = np.concatenate([[0], np.cumsum((f0 == 1) & (f1 == 0))])
+    turns = np.concatenate([[0], np.cumsum(f0 & ~f1)])
     last = np.maximum.accumulate(np.where(sets, np.arange(1, n + 1), 0)) if n else np.zeros(0, np.int64)
     last = np.concatenate([[0], last])
-    value = np.where(last > 0, f0[np.maximum(last - 1, 0)] if n else 0, begin)
+    value = np.where(last > 0, f0[np.maximum(last - 1, 0)], begin) if n else np.array([begin])
     return (value + turns - turns[last]) % 2
 
 
@@ -88,7 +108,7 @@ def _block_maps(lines: DataFrame) -> DataFrame:
         key, now = None, None
         for batch in batches:
             for file, block, part in _blocks(batch):
-                at, f0, f1 = (part.column(c).to_numpy() for c in ("at", "f0", "f1"))
+                at, (f0, f1) = part.column("at").to_numpy(), line_maps(part.column("line"))
                 if (file, block) != key:
                     done += [(*key, *now)] if key else []
                     key, now = (file, block), [int(at[0]), 0, 1, -1, -1, -1, -1]
@@ -106,7 +126,7 @@ def _block_maps(lines: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*done, strict=True)], names=names)
 
     schema = "file long, block long, first long, to0 long, to1 long, head0 long, head1 long, tail0 long, tail1 long"
-    return lines.select("file", "block", "at", "f0", "f1").mapInArrow(compose, schema)
+    return lines.mapInArrow(compose, schema)
 
 
 @dataclass(frozen=True)
@@ -194,7 +214,7 @@ def read_records(spark: SparkSession, path: str, header: bool = True) -> DataFra
                     if key not in splits:
                         raise ValueError(f"a file is split at byte {block} now, and was not when it was planned; read it again")
                     state, skip = splits[key].begin, header and block == 0
-                before = states(part.column("f0").to_numpy(), part.column("f1").to_numpy(), state)
+                before = states(*line_maps(part.column("line")), state)
                 state = int(before[-1])
                 text = part.column("line").cast(pa.large_string())
                 starts = np.flatnonzero(before[:-1] == 0)
@@ -205,8 +225,7 @@ def read_records(spark: SparkSession, path: str, header: bool = True) -> DataFra
                     continue
                 begun = [pa.array(["\n".join(open_lines)], pa.large_string())] if open_lines else []
                 # All records but the last are whole; that one may go on in the next batch.
-                lists = pa.LargeListArray.from_arrays(pa.array(starts, pa.int64()), text.slice(0, starts[-1]))
-                out.append(told([*begun, pc.binary_join(lists, pa.scalar("\n", pa.large_string()))]))
+                out.append(told([*begun, join_lines(text.slice(first, starts[-1] - first), starts[:-1] - first)]))
                 open_lines = text.slice(starts[-1]).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(out).cast(pa.string()) if out else pa.array([], pa.string())], names=["record"])
         yield pa.RecordBatch.from_arrays([rest().cast(pa.string())], names=["record"])
@@ -214,5 +233,5 @@ def read_records(spark: SparkSession, path: str, header: bool = True) -> DataFra
     records = lines.drop("at").mapInArrow(assemble, "record string")
     if any(s.begin or s.crosses for s in splits.values()):
         records = records.unionByName(materialize(_crossing(lines, splits, header), "crossing-records"))
-    whole = F.regexp_replace("record", "\\r\\z", "")
+    whole = F.when(F.endswith("record", F.lit("\r")), F.left("record", F.length("record") - 1)).otherwise(F.col("record"))
     return records.select(whole.alias("record")).where(F.col("record") != "")

@@ -2,6 +2,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -111,15 +112,14 @@ def test_a_quote_that_is_never_closed(spark, folder, split_size):
         cr.plan_splits(rows, longest=150)
 
 
-def test_state_after_a_line(spark):
-    rng = random.Random(3)
-    lines = ["".join(rng.choices('a",b "', k=rng.randrange(12))) for _ in range(400)]
-    table = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
-    found = table.select("i", cr.state_after(F.col("line"), False).alias("f0"), cr.state_after(F.col("line"), True).alias("f1")).collect()
-    for r in found:
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text('a",b ', max_size=12), min_size=1, max_size=6))
+def test_maps_of_lines(lines):
+    f0, f1 = cr.line_maps(pa.array(["before", *lines]).slice(1))
+    for line, outside, inside in zip(lines, f0, f1):
         # A line that is still open takes what follows into its record.
-        assert r.f0 == (len(brute_records(lines[r.i] + "\nz")) == 1 and lines[r.i] != ""), lines[r.i]
-        assert r.f1 == (len(brute_records('"' + lines[r.i] + "\nz")) == 1), lines[r.i]
+        assert outside == (line != "" and len(brute_records(line + "\nz")) == 1)
+        assert inside == (len(brute_records('"x' + line + "\nz")) == 1)
 
 
 @settings(max_examples=200, deadline=None)
@@ -129,5 +129,5 @@ def test_states_are_the_maps_one_after_another(maps, begin):
     for m in maps:
         state = m[state]
         expected.append(state)
-    f0, f1 = (np.array([m[k] for m in maps], dtype=np.int8) for k in (0, 1))
+    f0, f1 = (np.array([m[k] for m in maps], dtype=bool) for k in (0, 1))
     assert cr.states(f0, f1, begin).tolist() == expected
