@@ -6,8 +6,8 @@
 2. **Shards.** The bytes of the open runs go to the shard of their value, so equal windows meet. A shard builds a suffix array by
    Larsson-Sadakane refinement, takes Kasai's common prefixes, and so has the groups of equal windows and the smallest id of each. What is more
    than an array may hold is cut into several, whose windows are merged by binary search.
-3. **Hot values**, held by more than ``hot`` texts, would fill a shard. Their windows are rows instead: the smallest id of each by a
-   partial aggregate, met again by a join.
+3. **Hot values**, held by more than ``hot`` texts, would fill a shard. Equal runs of these are made one by a partial aggregate, and the
+   windows of the different ones are rows: the smallest id of each by a partial aggregate, met again by a join.
 
 Equal texts are one text, that of the smallest id; the others lose everything. Strings are judged on the input.
 
@@ -412,14 +412,30 @@ def shard_hits(runs: DataFrame, settings: Settings) -> DataFrame:
     return runs.groupBy("shard").applyInArrow(shard, "id long, h long, start long, n long")
 
 
-def row_hits(runs: DataFrame, settings: Settings) -> DataFrame:
-    """The same for the runs of hot values, a row for each window."""
-    placed = runs.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    window = F.substring(F.col("bytes"), F.col("at") + 1, F.lit(settings.length))
-    rows = placed.select("id", "h", (F.col("start") + F.col("at")).alias("start"), F.xxhash64(window).alias("w1"), F.xxhash64(F.lit(1), window).alias("w2"))
-    least = rows.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    shared = materialize(least.where(F.col("least") != F.col("most")).drop("most"), "hot-windows")
-    return rows.join(sized(shared), ["w1", "w2"]).where(F.col("least") < F.col("id")).select("id", "h", "start", F.lit(1).cast("long").alias("n"))
+def row_hits(runs: DataFrame) -> DataFrame:
+    """The same for the stored runs of hot values. Equal runs are one first; the windows of the different ones are rows, whose smallest
+    ids come back to their run as a list."""
+    length = F.octet_length("bytes") - F.col("n") + 1
+    marked = runs.withColumn("c1", F.xxhash64("bytes")).withColumn("c2", F.xxhash64(F.lit(1), "bytes"))
+    different = materialize(
+        marked.groupBy("c1", "c2").agg(F.min("id").alias("own"), F.max("id").alias("most"), F.any_value("bytes").alias("bytes"), F.any_value("n").alias("n")),
+        "hot-strings",
+    )
+    window = F.substring(F.col("bytes"), F.col("at") + 1, length)
+    placed = different.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    windows = materialize(
+        placed.select("c1", "c2", "at", "own", "most", F.xxhash64(window).alias("w1"), F.xxhash64(F.lit(1), window).alias("w2")), "hot-windows"
+    )
+    least = materialize(windows.groupBy("w1", "w2").agg(F.min("own").alias("least")), "hot-least")
+    met = windows.join(sized(least), ["w1", "w2"]).where(F.col("least") < F.col("most"))
+    lists = materialize(met.groupBy("c1", "c2").agg(F.array_sort(F.collect_list(F.struct("at", "least"))).alias("found")), "hot-lists")
+    hit = F.transform(F.filter("found", lambda e: e["least"] < F.col("id")), lambda e: e["at"])
+    hits = marked.drop("bytes").join(sized(lists), ["c1", "c2"]).withColumn("hit", hit).where(F.size("hit") > 0)
+    first = F.filter("hit", lambda x, i: (i == 0) | (F.get("hit", i - 1) != x - 1))
+    last = F.filter("hit", lambda x, i: F.coalesce(F.get("hit", i + 1) != x + 1, F.lit(True)))
+    spans = F.zip_with(first, last, lambda a, z: F.struct(a.alias("a"), z.alias("z")))
+    told = hits.select("id", "h", "start", F.explode(spans).alias("s"))
+    return told.select("id", "h", (F.col("start") + F.col("s.a")).alias("start"), (F.col("s.z") - F.col("s.a") + 1).cast("long").alias("n"))
 
 
 def merged_spans(hits: DataFrame, length: int) -> DataFrame:
@@ -463,7 +479,7 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), key: str =
     found = [hits]
     if some_hot:
         hot_runs = materialize(runs_of(pairs.join(sized(hot), "code", "left_semi")), "hot-runs")
-        found.append(materialize(row_hits(hot_runs, settings), "hits"))
+        found.append(materialize(row_hits(hot_runs), "hits"))
         discard(hot_runs)
     discard(pairs, hot)
     spans = merged_spans(found[0].unionByName(found[1]) if some_hot else hits, settings.length)
