@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cuvee.functions import text
@@ -29,25 +29,9 @@ POOL_COUNTS = {
 MEAN_MIN_COUNT = 190
 TEST_SIZE = 0.2
 SYMBOLS = "½ ° € © £ ¡ × • ™ – — “ ” ’ … ± ¿ ÷ º".split()
-SMALL = FeatureSettings(
-    mean_min_count=100,
-    pool_min_count=200,
-    pool_min_count_winery=15,
-    topics={"designation": 5, "description": 5, "title": 5},
-    max_iter=8,
-)
-SMALL_SPACE = {
-    "mean_min_count": [50, 100],
-    "pool_min_count": [100, 200],
-    "pool_min_count_winery": [15],
-    "topics.designation": [3],
-    "sublinear.designation": [True, False],
-    "topics.description": [3],
-    "topics.title": [3],
-    "leaf": [5, 25],
-    "per_split": ["sqrt", "log2"],
-    "trees": [10],
-}
+#: The parameters of the original job: 50, 50 and 20 topics, 300 trees, 29 features kept in steps of 10, five folds.
+SETTINGS = FeatureSettings(seed=7)
+KEEP, STEP, FOLDS, SEARCHED = 29, 10, 5, 2
 _stored: dict[tuple, object] = {}
 
 
@@ -339,8 +323,8 @@ def _document_topics(spark, sf_dir):
         columns = ["designation", "description"]
         counted = materialize(TermCounter(inputCols=columns).transform(rows).select(KEY, "terms"), "terms")
         model = TextTopics(
-            inputCols=columns, outputCols=[f"{c}_topics" for c in columns], topics=[5, 8],
-            sublinearCols=["description"], maxIter=15, seed=7,
+            inputCols=columns, outputCols=[f"{c}_topics" for c in columns], topics=[SETTINGS.topics[c] for c in columns],
+            sublinearCols=["description"], seed=7,
         ).fit(counted)
         return model, counted
 
@@ -377,10 +361,10 @@ def _features(spark, sf_dir):
     def make():
         path = _prepared_reviews(spark, sf_dir)
         counted = {
-            s: materialize(count_terms(read_split(spark, path, s), SMALL).drop(*ROLES.text), s) for s in ("train", "test")
+            s: materialize(count_terms(read_split(spark, path, s), SETTINGS).drop(*ROLES.text), s) for s in ("train", "test")
         }
-        model = fit_features(counted["train"], SMALL)
-        return model, *[materialize(apply_features(model, counted[s], SMALL), "features") for s in ("train", "test")]
+        model = fit_features(counted["train"], SETTINGS)
+        return model, *[materialize(apply_features(model, counted[s], SETTINGS), "features") for s in ("train", "test")]
 
     return _once(spark, sf_dir, "features", make)
 
@@ -388,7 +372,7 @@ def _features(spark, sf_dir):
 def _pruned(spark, sf_dir) -> forest.Elimination:
     def make():
         _, train, _ = _features(spark, sf_dir)
-        return forest.eliminate(train, forest.forest(trees=20, depth=8, seed=7), keep=29, step=0.4)
+        return forest.eliminate(train, forest.forest(seed=7), KEEP, STEP)
 
     return _once(spark, sf_dir, "pruned", make)
 
@@ -403,7 +387,7 @@ def feature_names(spark, sf_dir):
 
 def rf_predict(spark, sf_dir):
     _, train, test = _features(spark, sf_dir)
-    model = forest.forest(trees=20, depth=8, seed=7).fit(train)
+    model = forest.forest(seed=7).fit(train)
     return model.transform(test).select(KEY, "label", "prediction")
 
 
@@ -413,15 +397,14 @@ def rfe_support(spark, sf_dir):
 
 def rfecv_scores(spark, sf_dir):
     _, train, _ = _features(spark, sf_dir)
-    folded = materialize(split.kfold(train, 3), "folded")
-    return forest.elimination_scores(folded, forest.forest(trees=10, depth=5, seed=7), folds=3, step=0.5, smallest=10)
+    folded = materialize(split.kfold(train, FOLDS), "folded")
+    return forest.elimination_scores(folded, forest.forest(seed=7), FOLDS, STEP)
 
 
 def _search(spark, sf_dir):
     def make():
         train = read_split(spark, _prepared_reviews(spark, sf_dir), "train")
-        settings = SMALL.with_values({"max_iter": 3})
-        return forest.search(train, settings, SMALL_SPACE, n_iter=4, folds=3, depth=5, seed=7)[0]
+        return forest.search(train, SETTINGS, n_iter=SEARCHED, folds=FOLDS, seed=7)[0]
 
     return _once(spark, sf_dir, "search", make)
 
@@ -458,7 +441,8 @@ def topic_checks(spark, sf_dir):
     below = weights.where(F.exists("w", lambda x: x.isNull() | F.isnan(x) | (x < 0))).count()
     rises = sum(b > a * (1 + 1e-9) for x in model.state["losses"].values() for a, b in zip(x, x[1:]))
     texts = weights.where(F.col("source") == "description").select(KEY).distinct().count()
-    return _checks(spark, {"texts": texts, "below zero": below, "rising rounds": rises})
+    off = model.residuals(counted).where(~(F.col("off") <= 1e-6)).count()
+    return _checks(spark, {"texts": texts, "below zero": below, "off the optimum": off, "rising rounds": rises})
 
 
 def feature_checks(spark, sf_dir):
@@ -487,7 +471,7 @@ def search_checks(spark, sf_dir):
     """Rows, candidates, folds and the best rank of a search, and candidates whose mean isn't that of their folds by rows."""
     results = _search(spark, sf_dir)
     n = read_split(spark, _prepared_reviews(spark, sf_dir), "train").count()
-    size = F.lit(n // 3) + (F.col("fold") < n % 3).cast("int")
+    size = F.lit(n // FOLDS) + (F.col("fold") < n % FOLDS).cast("int")
     means = results.groupBy("candidate").agg((F.sum(F.col("mse") * size) / F.sum(size)).alias("m"), F.first("mean_mse").alias("given"))
     rows, candidates, folds, best = results.agg(
         F.count(F.lit(1)), F.count_distinct("candidate"), F.count_distinct("fold"), F.min("rank")
@@ -497,17 +481,31 @@ def search_checks(spark, sf_dir):
 
 
 def forest_checks(spark, sf_dir):
-    """Predictions, those beyond the labels, features kept, support rows off the dictionary, ranks of the importance table."""
+    """Predictions, those beyond the labels, features kept, features of the support without a name, and what the importance table gets wrong:
+    places, names and names as reported that differ from a ranking of what the splits in the stored nodes explain."""
     model, train, test = _features(spark, sf_dir)
     pruned = _pruned(spark, sf_dir)
     low, high = train.agg(F.min("label"), F.max("label")).first()
     found = materialize(pruned.model.transform(test).select("prediction"), "checked-predictions")
-    support = pruned.support(spark)
-    top = forest.top_features(pruned.model, feature_dictionary(model), 20)
+    support, names = pruned.support(spark), feature_dictionary(model)
+    of_tree = Window.partitionBy("tree")
+    gains = pruned.model.stages[0].nodes.where("feature >= 0").groupBy("tree", "feature").agg(F.sum("gain").alias("gain"))
+    shares = gains.withColumn("share", F.col("gain") / F.sum("gain").over(of_tree)).groupBy("feature").agg(F.sum("share").alias("share"))
+    kept = support.where("kept").select(F.col("feature_idx").alias("feature")).join(shares, "feature", "left").fillna(0.0, ["share"])
+    # A line per kept feature, 29 in all.
+    order = Window.orderBy(F.desc(F.round("share", 9)), "feature")
+    ranked = kept.withColumn("place", F.row_number().over(order)).withColumn("at", F.row_number().over(Window.orderBy("feature")) - 1)
+    told = ranked.join(names.select(F.col("feature_idx").alias("feature"), "name"), "feature").join(
+        names.select(F.col("feature_idx").alias("at"), F.col("name").alias("reported")), "at"
+    )
+    top = materialize(forest.top_features(pruned.model, names, 20), "checked-top")
+    shown = top.withColumn("place", F.row_number().over(Window.orderBy(F.desc(F.round("importance", 9) ), "feature_idx")))
+    right = shown.join(told, "place").where((F.col("feature_idx") == F.col("feature")) & (shown["name"] == told["name"]) & (F.col("name_as_reported") == F.col("reported")))
     return _checks(
         spark,
         {"predictions": found.count(), "beyond the labels": found.where(~F.col("prediction").between(low, high)).count(),
-         "kept": support.where("kept").count(), "unnamed": support.count() - feature_dictionary(model).count(), "top": top.count()},
+         "kept": support.where("kept").count(), "unnamed": support.join(names, "feature_idx", "left_anti").count(), "top": top.count(),
+         "misplaced": top.count() - right.count()},
     )
 
 

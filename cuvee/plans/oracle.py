@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cuvee.functions.words import PUNCTUATION, STOP_WORDS
-from cuvee.plans.catalog import MEAN_MIN_COUNT, POOL_COUNTS, SMALL, TEST_SIZE
+from cuvee.plans.catalog import MEAN_MIN_COUNT, POOL_COUNTS, SETTINGS, TEST_SIZE
 from cuvee.plans.fixture import REVIEWS_NO_TEXT_SQL, REVIEWS_SQL
 from cuvee.schema import POOLED, ROLES
 
@@ -218,7 +218,7 @@ SELECT f.row_id, round(CASE WHEN c.n >= 20 THEN c.s / c.n ELSE m.mean END, 6) AS
 FROM f JOIN m USING (fold) LEFT JOIN country_o c ON c.v = f.country AND c.fold = f.fold LEFT JOIN winery_o w ON w.v = f.winery AND w.fold = f.fold""",
     "feature_names": f"""WITH {SPLIT}, {LONG_TRAIN},
 counts AS (SELECT "column" AS c, value, count(*) AS n FROM long GROUP BY ALL),
-levels AS (SELECT DISTINCT c, CASE WHEN n >= CASE c WHEN 'winery' THEN {SMALL.pool_min_count_winery} ELSE {SMALL.pool_min_count} END
+levels AS (SELECT DISTINCT c, CASE WHEN n >= CASE c WHEN 'winery' THEN {SETTINGS.pool_min_count_winery} ELSE {SETTINGS.pool_min_count} END
                                    THEN value ELSE '{POOLED}' END AS level FROM counts),
 lines AS (
   SELECT 0 AS block, 0 AS part, i - 1 AS ordinal, [{', '.join(map(quoted, ROLES.numeric))}][i] AS source_col, 'numeric' AS kind, NULL AS level,
@@ -228,18 +228,19 @@ lines AS (
   UNION ALL SELECT 2, list_position([{', '.join(map(quoted, CATS))}], c), row_number() OVER (PARTITION BY c ORDER BY level) - 1, c, 'level', level,
          c || '_' || level FROM levels
   UNION ALL SELECT 3, p, i, c, 'topic', NULL, c || '_topic_' || i
-  FROM (SELECT p, c, unnest(range(k)) AS i FROM (VALUES {', '.join(f"({p}, {quoted(c)}, {SMALL.topics[c]})" for p, c in enumerate(ROLES.text))}) t(p, c, k)))
+  FROM (SELECT p, c, unnest(range(k)) AS i FROM (VALUES {', '.join(f"({p}, {quoted(c)}, {SETTINGS.topics[c]})" for p, c in enumerate(ROLES.text))}) t(p, c, k)))
 SELECT CAST(row_number() OVER (ORDER BY block, part, ordinal) - 1 AS INTEGER) AS feature_idx, name, source_col, kind, level,
        CAST(ordinal AS INTEGER) AS ordinal FROM lines""",
-    "search_checks": """SELECT * FROM (VALUES ('rows', 12), ('candidates', 4), ('folds', 3), ('best rank', 1), ('wrong means', 0)) t(name, n)""",
+    "search_checks": """SELECT * FROM (VALUES ('rows', 10), ('candidates', 2), ('folds', 5), ('best rank', 1), ('wrong means', 0)) t(name, n)""",
     "topic_checks": f"""SELECT 'texts' AS name, count(*) AS n FROM documents
 WHERE regexp_matches(array_to_string(list_filter({words(norm('text'))}, lambda t: t NOT IN ({STOPPED})), ' '), '\\w\\w')
-UNION ALL SELECT 'below zero', 0 UNION ALL SELECT 'rising rounds', 0""",
+UNION ALL SELECT 'below zero', 0 UNION ALL SELECT 'off the optimum', 0 UNION ALL SELECT 'rising rounds', 0""",
     "feature_checks": f"""SELECT 'train' AS name, count(*) - CAST(floor(count(*) * {TEST_SIZE}) AS BIGINT) AS n FROM orders
 UNION ALL SELECT 'test', CAST(floor(count(*) * {TEST_SIZE}) AS BIGINT) FROM orders
 UNION ALL SELECT 'wrong width', 0 UNION ALL SELECT 'not a number', 0 UNION ALL SELECT 'names twice', 0""",
     "forest_checks": f"""SELECT 'predictions' AS name, CAST(floor(count(*) * {TEST_SIZE}) AS BIGINT) AS n FROM orders
-UNION ALL SELECT 'beyond the labels', 0 UNION ALL SELECT 'kept', 29 UNION ALL SELECT 'unnamed', 0 UNION ALL SELECT 'top', 20""",
+UNION ALL SELECT 'beyond the labels', 0 UNION ALL SELECT 'kept', 29 UNION ALL SELECT 'unnamed', 0 UNION ALL SELECT 'top', 20
+UNION ALL SELECT 'misplaced', 0""",
     "profile_columns": f"""WITH {R}, v AS ({viewed(False)})
 SELECT "column", count(*) AS n_rows, count(*) - count(value) AS n_missing,
        count(DISTINCT value) + CASE WHEN count(*) > count(value) THEN 1 ELSE 0 END AS n_distinct

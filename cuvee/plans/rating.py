@@ -31,7 +31,7 @@ from cuvee.operators.forest import (
     words_of_top_topics,
 )
 from cuvee.operators.profile import histogram
-from cuvee.operators.split import is_contiguous, kfold, with_position
+from cuvee.operators.split import keys_of, kfold, with_position
 from cuvee.operators.text import join_stems
 from cuvee.runtime import materialize
 from cuvee.schema import KEY
@@ -61,12 +61,11 @@ def prepare(raw: DataFrame, path: str, test_size: float = 0.2) -> None:
     Ids that aren't 0 .. n - 1, each once, are replaced by the place in their order, so that later steps find contiguous ids that
     are unique; ``original_id`` keeps what they were. The count and the order are taken from the ids of the raw rows.
     """
-    ids = raw.select(KEY)
-    n, contiguous = ids.count(), is_contiguous(ids)
+    keys = keys_of(raw.select(KEY))
     cleaned = clean(raw).withColumn("original_id", F.col(KEY))
-    if not contiguous:
+    if not keys.contiguous:
         cleaned = with_position(cleaned.drop(KEY), "original_id", KEY)
-    split = F.when(F.col(KEY) < int(n * test_size), "test").otherwise("train")
+    split = F.when(F.col(KEY) < int(keys.n * test_size), "test").otherwise("train")
     write_split(cleaned.withColumn("split", split), path)
 
 
@@ -114,17 +113,19 @@ def train(
     partitions: int | None = None,
     max_bins: int = 32,
     memory_mb: int = 256,
+    ledger: str | None = None,
 ) -> TrainedRating:
     """Fixed parameters and elimination to ``keep`` features, or a search and elimination by validation.
 
     Forests have exact splits and no limit of depth. With a ``depth`` they are binned ones; ``partitions`` is how many parts these are fitted on
-    (by the number of rows, unless given), ``memory_mb`` what one pass of a fit may hold per task.
+    (by the number of rows, unless given), ``memory_mb`` what one pass of a fit may hold per task. ``ledger`` is a shared folder in which
+    finished fits of the search and of the elimination are noted; a run with the same rows and parameters goes on from there.
     """
     settings = settings or FeatureSettings(seed=seed)
     chosen: dict = {"trees": trees}
     results = None
     if select_model:
-        results, best = search(train_set, settings, space, n_iter, folds, depth, seed, partitions=partitions)
+        results, best = search(train_set, settings, space, n_iter, folds, depth, seed, partitions=partitions, ledger=ledger)
         settings = settings.with_values({k: v for k, v in best.items() if k not in FOREST_VALUES})
         chosen.update({k: v for k, v in best.items() if k in FOREST_VALUES})
     counted = materialize(count_terms(train_set, settings).drop(*settings.roles.text), "train")
@@ -134,9 +135,9 @@ def train(
     scores = None
     if select_model:
         folded = materialize(kfold(matrix, folds), "folded")
-        elimination, scores = eliminate_by_validation(folded, regressor, folds, step, partitions)
+        elimination, scores = eliminate_by_validation(folded, regressor, folds, step, partitions, ledger)
     else:
-        elimination = eliminate(matrix, regressor, keep, step, partitions=partitions)
+        elimination = eliminate(matrix, regressor, keep, step, partitions=partitions, ledger=ledger)
     return TrainedRating(features, elimination, settings, results, scores)
 
 
