@@ -8,8 +8,8 @@ Queries and candidates are dealt to blocks of bounded size. Each pair of blocks
 whole. The first candidate block gives every query a score that its k-th best can't fall below; in the other blocks candidates whose
 bound is below it are dropped level by level, and only survivors are scored. A block returns k rows a query at most.
 
-Cases: vectors that are null or hold a null, NaN or infinity, and rows with a null id, take no part; rows that share an id count as
-one; vectors are compared with those of their length only; ties go to the smaller id; scores beyond 64 bits are cut off there; an empty
+Cases: vectors that are null or hold a null, NaN or infinity, and rows with a null id, take no part; rows that share an id are rows of their
+own, and a query leaves out only itself; vectors are compared with those of their length only; ties go to the smaller id; scores beyond 64 bits are cut off there; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -23,10 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cuvee.llm.common import one_row_per_id
 from cuvee.runtime import materialize, ship_package
 
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "query long, vec_id long, row long, score long"
 _EXACT = float(2**53)
 
 
@@ -71,21 +70,22 @@ def _scores(q: np.ndarray, x: np.ndarray, dense: bool) -> np.ndarray:
 
 
 def best_of_block(
-    query_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, settings: Settings
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query ids, ids, scores) of the k best of ``x`` for each query among those with a score of ``floor`` at least."""
+    queries: np.ndarray, q: np.ndarray, floor: np.ndarray, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, settings: Settings
+) -> tuple[np.ndarray, ...]:
+    """(query, id, row, score) of the k best of ``x`` for each query among those with a score of ``floor`` at least. ``queries`` and ``rows``
+    are numbers of rows; a row isn't its own candidate."""
     with np.errstate(over="ignore", invalid="ignore"):  # a bound beyond the range of doubles rules nothing out
-        return _best(query_ids, q, floor, ids, x, settings)
+        return _best(queries, q, floor, rows, ids, x, settings)
 
 
-def _best(query_ids, q, floor, ids, x, settings):
-    order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], x[order]
+def _best(queries, q, floor, rows_of, ids, x, settings):
+    order = np.lexsort((rows_of, ids))
+    ids, rows_of, x = ids[order], rows_of[order], x[order]
     of_x = [statistics(x, s) for s in settings.levels]
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    out: list[tuple[np.ndarray, ...]] = []
     for at in range(0, len(q), settings.chunk):
-        part, own, least = q[at : at + settings.chunk], query_ids[at : at + settings.chunk], floor[at : at + settings.chunk]
-        left = own[:, None] != ids[None, :]
+        part, own, least = q[at : at + settings.chunk], queries[at : at + settings.chunk], floor[at : at + settings.chunk]
+        left = own[:, None] != rows_of[None, :]
         rows, cols = None, None
         for segments, right in zip(settings.levels, of_x, strict=True):
             of_q = statistics(part, segments)
@@ -111,8 +111,8 @@ def _best(query_ids, q, floor, ids, x, settings):
         rows, cols, scores = rows[ranked], cols[ranked], scores[ranked]
         nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
         top = nth < settings.k
-        out.append((own[rows[top]], ids[cols[top]], scores[top].astype(np.int64)))
-    return tuple(np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(3))
+        out.append((own[rows[top]], ids[cols[top]], rows_of[cols[top]], scores[top].astype(np.int64)))
+    return tuple(np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(4))
 
 
 def _usable(rows: DataFrame) -> DataFrame:
@@ -127,28 +127,29 @@ def search(vectors: DataFrame, is_query: Column, settings: Settings = Settings()
     spark = vectors.sparkSession
     ship_package(spark)
     given = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
-    rows = materialize(one_row_per_id(_usable(given), "vec_id").withColumn("dim", F.size("v")), "vectors")
+    numbered = _usable(given).withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(numbered.withColumn("dim", F.size("v")), "vectors")
     sizes = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("asks"), 1)).alias("q")).first()
     q_blocks = max(1, -(-sizes["q"] // settings.query_block))
     c_blocks = max(1, -(-sizes["n"] // settings.candidate_block))
 
     def block(n: int, salt: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)).cast("int")
 
-    asking = rows.where("asks").select("vec_id", "v", "dim", block(q_blocks, 1).alias("qb"))
+    asking = rows.where("asks").select("row", "v", "dim", block(q_blocks, 1).alias("qb"))
     # Columns of their own, since a table met with itself would leave open which side is meant.
-    offered = rows.select(*[F.col(c).alias(c) for c in ("vec_id", "v", "dim")], block(c_blocks, 2).alias("cb"))
+    offered = rows.select(*[F.col(c).alias(c) for c in ("row", "vec_id", "v", "dim")], block(c_blocks, 2).alias("cb"))
     cut = settings
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = (np.zeros(0, np.int64),) * 3
+        found = (np.zeros(0, np.int64),) * 4
         if left.num_rows and right.num_rows:
             floor = left.column("floor").to_numpy() if "floor" in left.column_names else np.full(left.num_rows, -np.inf)
             found = best_of_block(
-                left.column("vec_id").to_numpy(), _vectors(left.column("v"), cut.scale), floor,
-                right.column("vec_id").to_numpy(), _vectors(right.column("v"), cut.scale), cut,
+                left.column("row").to_numpy(), _vectors(left.column("v"), cut.scale), floor,
+                right.column("row").to_numpy(), right.column("vec_id").to_numpy(), _vectors(right.column("v"), cut.scale), cut,
             )
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, found), strict=True)))
+        return pa.table(dict(zip(("query", "vec_id", "row", "score"), map(pa.array, found), strict=True)))
 
     def each(n: int, name: str, first: int = 0) -> Column:
         return F.explode(F.sequence(F.lit(first), F.lit(n - 1))).alias(name)
@@ -161,14 +162,15 @@ def search(vectors: DataFrame, is_query: Column, settings: Settings = Settings()
     )
     if c_blocks > 1:
         # k rows a query at most; the least of k is the floor, fewer give none.
-        known = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
-        floors = known.where(F.col("n") >= settings.k).select(F.col("query_id").alias("vec_id"), F.col("least").cast("double").alias("floor"))
-        with_floor = asking.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+        known = first.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+        floors = known.where(F.col("n") >= settings.k).select(F.col("query").alias("row"), F.col("least").cast("double").alias("floor"))
+        with_floor = asking.join(floors, "row", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
         rest = (
             with_floor.select("*", each(c_blocks, "cb", 1)).groupBy(*grid)
             .cogroup(offered.where(F.col("cb") > 0).select("*", each(q_blocks, "qb")).groupBy(*grid)).applyInArrow(compare, _FOUND)
         )
         first = first.unionByName(rest)
-    in_order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    in_order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     ranked = first.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= settings.k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    named = rows.where("asks").select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+    return ranked.drop("row").join(named, "query").select("query_id", "rank", "vec_id", "score")

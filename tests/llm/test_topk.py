@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from conftest import spread
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -12,22 +13,22 @@ SCHEMA = "vec_id long, embedding array<float>"
 
 
 def brute(rows, k, every=20):
-    usable = {}
+    usable = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            usable.setdefault(i, [math.floor(64 * float(np.float32(x))) for x in v])
-    found = set()
-    for q, v in usable.items():
+            usable.append((i, [math.floor(64 * float(np.float32(x))) for x in v]))
+    found = []
+    for a, (q, v) in enumerate(usable):
         if q % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable.items() if i != q and len(w) == len(v))
-            found |= {(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)}
-    return found
+            scored = sorted((-sum(x * y for x, y in zip(v, w)), i) for b, (i, w) in enumerate(usable) if a != b and len(w) == len(v))
+            found += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
+    return sorted(found)
 
 
 def result(spark, rows, every=20, **options):
     df = rows if hasattr(rows, "columns") else spark.createDataFrame(rows, SCHEMA)
     found = topk.search(df, F.pmod("vec_id", F.lit(every)) == 0, topk.Settings(**options))
-    return {tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect()}
+    return sorted(tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect())
 
 
 @pytest.fixture(scope="module")
@@ -49,17 +50,25 @@ def test_equals_brute_force(spark, rows, block):
 def test_fewer_than_k_and_repeated_rows(spark):
     rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0])]
     df = spark.createDataFrame([(*r, 5, "x") for r in rows], SCHEMA + ", dim int, cb string")
-    assert result(spark, df) == brute(rows, 20) == {(0, 1, 1, 64 * 64 * 5), (0, 2, 2, 64 * 64 * 5)}
+    one = [(0, 1, 0, 64 * 64 * 5), (0, 2, 1, 64 * 64 * 5), (0, 3, 2, 64 * 64 * 5)]
+    assert result(spark, df) == brute(rows, 20) == sorted(one * 2)
+
+
+@pytest.mark.parametrize("parts", [1, 4, 17])
+def test_rows_that_share_an_id_are_all_candidates(spark, rows, parts):
+    more = rows + [(3, [5.0] * 16), (20, [4.0] * 16), (7, rows[8][1]), (40, rows[41][1]), (40, rows[40][1])]
+    df = spread(spark.createDataFrame(more, SCHEMA), parts)
+    assert result(spark, df, k=9, query_block=7, candidate_block=50) == brute(more, 9)
 
 
 def test_empty_table(spark):
-    assert result(spark, []) == set()
+    assert result(spark, []) == []
 
 
 def test_doubles_beyond_the_exact_range(spark):
-    assert result(spark, spark.createDataFrame([(0, [2e7, 1.0]), (1, [2e7, 3.0])], "vec_id long, embedding array<double>")) == {
+    assert result(spark, spark.createDataFrame([(0, [2e7, 1.0]), (1, [2e7, 3.0])], "vec_id long, embedding array<double>")) == [
         (0, 1, 1, (128 * 10**7) ** 2 + 64 * 192)
-    }
+    ]
     rows = [(0, [1e9, 1.0]), (1, [1e9, 3.0]), (2, [-1e300, 1.0]), (3, [1e300, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = {r[2]: r[3] for r in result(spark, df)}
