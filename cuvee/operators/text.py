@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cuvee.functions import text
@@ -92,6 +92,11 @@ class HasTerms(Params):
     keyCol = Param(Params._dummy(), "keyCol", "row id column", TypeConverters.toString)
 
 
+def own_terms(column: str, sources: list[str]) -> Column:
+    """The terms of some text columns; those of the others are left out before they are exploded or shuffled."""
+    return F.filter(column, lambda t: t["source"].isin(sources)).alias(column)
+
+
 class TermWeights(ParamEstimator, HasTerms):
     """TF-IDF of the text columns ``inputCols`` from their term counts.
 
@@ -105,8 +110,7 @@ class TermWeights(ParamEstimator, HasTerms):
     def _fit(self, df: DataFrame) -> "TermWeightsModel":
         n = df.count()
         frequency = (
-            unnest(df, self.get("termsCol"))
-            .where(F.col("source").isin(self.inputs))
+            unnest(df.select(own_terms(self.get("termsCol"), self.inputs)), self.get("termsCol"))
             .groupBy("source", "term")
             .agg(F.count(F.lit(1)).alias("df"))
         )
@@ -141,7 +145,7 @@ class TermWeightsModel(TableModel, HasTerms):
         weights of a text needs no further shuffle.
         """
         key, terms = self.get("keyCol"), self.get("termsCol")
-        long = unnest(df.select(key, terms).repartition(key), terms, key).where(F.col("source").isin(self.inputs))
+        long = unnest(df.select(key, own_terms(terms, self.inputs)).repartition(key), terms, key)
         lookup = self.tables["vocabulary"].select("source", "term", "term_id", "idf")
         known = attach(long, lookup, ["source", "term"], [key], small=self.state["small"]).where(
             F.col("term_id").isNotNull()

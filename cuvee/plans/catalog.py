@@ -133,6 +133,18 @@ def profile_columns(spark, sf_dir):
     return profile.profile_columns(view, view.columns)
 
 
+def distinct_estimates(spark, sf_dir):
+    """Distinct values from the united sketches of four parts of the rows: whether the estimate is within 5 % (three standard errors) of the
+    exact number."""
+    rows = reviews(spark, sf_dir, False)
+    view = profile.profile_view(rows)
+    parts = profile.distinct_sketches(view.withColumn("_part", F.pmod(F.xxhash64("title", "price"), F.lit(4))), view.columns, F.col("_part"))
+    found = profile.distinct_estimates(profile.united(materialize(parts, "sketches")))
+    exact = profile.profile_columns(view, view.columns).select("column", F.col("n_distinct").alias("exact"))
+    within = F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact")
+    return found.join(exact, "column").select("column", "n_rows", "n_missing", F.col("exact").alias("n_distinct"), within.alias("within"))
+
+
 def value_counts_all(spark, sf_dir):
     view = profile.profile_view(reviews(spark, sf_dir, False), "missing").drop("price")
     return profile.value_counts_all(view, view.columns)
@@ -572,7 +584,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         normalize_categories, fold_documents, title_year, title_clean, title_geo_mismatch, implication_violations,
         document_tokens, document_words, document_normalized, csv_scan, csv_malformed, fold_symbols,
-        profile_columns, value_counts_all, value_counts, year_counts, event_counts, points_histogram, price_histogram,
+        profile_columns, distinct_estimates, value_counts_all, value_counts, year_counts, event_counts, points_histogram, price_histogram,
         lineitem_histogram, histogram_nan,
         split_prefix, split_stored, split_hash, split_gaps, sample_rows, kfold_assign, kfold_gaps, ordered_positions,
         impute_median, event_median, target_mean_table, target_mean_encode, target_mean_out_of_fold, label_mean_encode, lineitem_mean_encode,

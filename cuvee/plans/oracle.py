@@ -244,6 +244,10 @@ UNION ALL SELECT 'misplaced', 0""",
     "profile_columns": f"""WITH {R}, v AS ({viewed(False)})
 SELECT "column", count(*) AS n_rows, count(*) - count(value) AS n_missing,
        count(DISTINCT value) + CASE WHEN count(*) > count(value) THEN 1 ELSE 0 END AS n_distinct
+FROM v GROUP BY "column\"""",
+    "distinct_estimates": f"""WITH {R}, v AS ({viewed(False)})
+SELECT "column", count(*) AS n_rows, count(*) - count(value) AS n_missing,
+       count(DISTINCT value) + CASE WHEN count(*) > count(value) THEN 1 ELSE 0 END AS n_distinct, true AS within
 FROM v GROUP BY "column\"""",
     "value_counts_all": f"""WITH {R}, v AS ({viewed(True)}) SELECT "column", value, count(*) AS n FROM v GROUP BY ALL""",
     "value_counts": f"""WITH {R} SELECT variety AS value, count(*) AS n FROM r WHERE variety IS NOT NULL GROUP BY variety

@@ -1,5 +1,7 @@
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from cuvee.operators import profile
 
 
@@ -20,6 +22,34 @@ def test_all_columns_take_one_shuffle(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_united_sketches_equal_those_of_the_whole(spark):
+    df = spark.range(30_000).select(
+        (F.col("id") % 17).alias("few"), F.when(F.col("id") % 3 > 0, F.col("id") % 9000).alias("many"), F.lit(None).cast("string").alias("none"),
+        (F.col("id") % 5).alias("part"), F.col("id").alias("column"),
+    )
+    columns = ["few", "many", "none", "column"]
+    parts = profile.distinct_sketches(df, columns, F.col("part"))
+    assert parts.count() == 20
+    whole = profile.distinct_estimates(profile.distinct_sketches(df, columns)).collect()
+    joined = {r["column"]: r for r in profile.distinct_estimates(profile.united(parts)).collect()}
+    for r in whole:
+        exact = {"few": 17, "many": 6001, "none": 1, "column": 30_000}[r["column"]]
+        other = joined[r["column"]]
+        assert (other["n_rows"], other["n_missing"]) == (r["n_rows"], r["n_missing"])
+        assert abs(r["n_distinct"] - exact) <= 0.05 * exact and abs(other["n_distinct"] - exact) <= 0.05 * exact
+    assert joined["few"]["n_distinct"] == 17 and joined["none"]["n_distinct"] == 1
+    # In any order, and with parts united before.
+    some = profile.united(parts.where("part < 2")).select(F.lit("a").alias("part"), "column", "n_rows", "n_missing", "sketch")
+    later = profile.united(some.unionByName(parts.where("part >= 2")))
+    assert {r["column"]: r["n_distinct"] for r in profile.distinct_estimates(later).collect()} == {c: r["n_distinct"] for c, r in joined.items()}
+
+
+def test_one_pass_for_the_sketches_of_all_columns(spark):
+    df = spark.range(10).select("id", F.col("id").alias("x"), F.col("id").alias("y"))
+    plan = profile.distinct_sketches(df, ["x", "y"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
 def counts(spark, values, bins):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     return [r["n"] for r in profile.histogram(df, "x", bins).orderBy("bin").collect()]
