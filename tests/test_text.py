@@ -147,3 +147,23 @@ def test_rows_that_share_an_id_keep_their_own_words(spark):
     df = spark.createDataFrame([(1, "alpha beta"), (1, "gamma delta"), (None, "eta theta"), (2, None)], "row_id long, description string")
     found = rows(normalize_descriptions(df))
     assert found == sorted([(1, "alpha beta"), (1, "gamma delta"), (None, "eta theta"), (2, "_missing_")], key=repr)
+
+
+def test_stems_need_no_shuffle_and_no_stored_words(spark):
+    """The words of a text stay in its task: no exchange, no join, nothing written."""
+    df = spark.createDataFrame([(i, f"cooking wines {i % 3}") for i in range(50)], "row_id long, description string").repartition(5)
+    normal = normalize_descriptions(df)
+    plan = normal._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Repartition") == 1 and "Join" not in plan and "Aggregate" not in plan and "parquet" not in plan
+    assert rows(normal) == sorted([(i, f"cook wine {i % 3}") for i in range(50)], key=repr)
+
+
+def test_stems_of_slices_and_nulls():
+    import pyarrow as pa
+
+    from cuvee.operators.text import _stem_batch
+
+    words_ = pa.array([["skies"], ["cats", "cats"], None, [], ["é", "flies"]], pa.list_(pa.string()))
+    assert _stem_batch(words_).to_pylist() == ["sky", "cat cat", "", "", "é fli"]
+    assert _stem_batch(words_.slice(1, 3)).to_pylist() == ["cat cat", "", ""]
+    assert _stem_batch(words_.slice(0, 0)).to_pylist() == []
