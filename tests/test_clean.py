@@ -145,3 +145,20 @@ def test_stop_list_is_the_published_one():
 
     assert len(STOP_WORDS) == len(set(STOP_WORDS)) == 179
     assert hashlib.sha256(" ".join(STOP_WORDS).encode()).hexdigest() == "953ad8b2cc7cebba617759ed5b826cd72e373bae3d5d8f34dd7d745c10a94212"
+
+
+def test_compressed_csv_keeps_rows_in_bounded_files(spark, folder, monkeypatch):
+    import gzip
+    from pathlib import Path
+
+    from cuvee.schema import RAW_SCHEMA
+    from cuvee.sources import reviews as source
+
+    monkeypatch.setattr(source, "PACKED_RECORDS", 4)
+    raw = [(i, "Italy", 'two\nlines, "said" ' * 50, "d", 90, 1.5, "p", "r", "s", "t", "@t", f"title {i}", "v", "w") for i in range(10)]
+    df = spark.createDataFrame(raw, RAW_SCHEMA).repartition(1)
+    write_reviews_csv(df, folder + "/csv", compression="gzip")
+    files = list(Path(folder, "csv").glob("*.csv.gz"))
+    assert len(files) == 3
+    assert sum(f.stat().st_size for f in files) < sum(len(gzip.decompress(f.read_bytes())) for f in files) / 3
+    assert sorted(map(tuple, read_reviews_csv(spark, folder + "/csv").collect())) == sorted(map(tuple, df.collect()))
