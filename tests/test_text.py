@@ -167,3 +167,25 @@ def test_stems_of_slices_and_nulls():
     assert _stem_batch(words_).to_pylist() == ["sky", "cat cat", "", "", "é fli"]
     assert _stem_batch(words_.slice(1, 3)).to_pylist() == ["cat cat", "", ""]
     assert _stem_batch(words_.slice(0, 0)).to_pylist() == []
+
+
+def test_hot_terms_come_from_the_fit(spark, monkeypatch):
+    """A vocabulary beyond a broadcast is joined without another pass over the terms of the rows; a hot term has the same weights."""
+    df = spark.createDataFrame([(i, f"common word{i} word{i % 7}") for i in range(40)], "row_id long, t string")
+    counted = TermCounter(inputCols=["t"]).transform(df)
+    expected = rows(TermWeights(inputCols=["t"]).fit(counted).transform(counted).select("row_id", "term_id", F.round("weight", 9)))
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(scale, "HOT_PARTS", 10)
+    monkeypatch.setattr(scale, "hot_keys", lambda *_: pytest.fail("the rows are counted again"))
+    model = TermWeights(inputCols=["t"]).fit(counted)
+    assert ("t", "common") in rows(model._hot())
+    assert rows(model.transform(counted).select("row_id", "term_id", F.round("weight", 9))) == expected
+
+
+def test_terms_of_ascii_and_other_texts(spark):
+    import re
+
+    texts = ["a bb c_d 12 x-yy 3", "é bb été àb1 x", "", "_ __ a1 b", "naïve ascii. o'clock"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in df.select(text.index_terms(F.col("t"))).collect()]
+    assert found == [re.findall(r"\b\w\w+\b", t) for t in texts]
