@@ -36,13 +36,13 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids:
     end = END_ID.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).ids
+        encode = encoder(tokenizer).all_ids
         for batch in batches:
             texts = batch.column(1)
             for first in range(0, len(texts), 256):
                 rows, at, sums, lengths, ids = [], [], [], [], []
-                for i in range(first, min(first + 256, len(texts))):
-                    data = encode(texts[i].as_py() or "") + end
+                for i, data in enumerate(encode([t or "" for t in texts.slice(first, 256).to_pylist()]), first):
+                    data += end
                     for start in range(0, len(data), size):
                         part = data[start : start + size]
                         rows.append(i)

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cuvee.llm import packing, queries
+from cuvee.llm import packing, queries, word_tokens
 from cuvee.llm.word_tokens import encoder
 
 FILE = queries.tokenizer_file()
@@ -68,6 +68,35 @@ def test_chunks_have_the_ids_of_the_whole_text(text):
     assert np.frombuffer(encoder(FILE).ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+MIXED = st.text(alphabet="abzÉßΣσİдقꟙ'sRE\t\n ́-_()1½😀.,!<|>", max_size=40)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(MIXED, max_size=6), st.sampled_from([3, 550_000]), st.sampled_from([10, 1_000_000]))
+def test_texts_encoded_together_have_their_own_ids(tokenizer, texts, memory, together):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(word_tokens, "_MEMORY", memory)
+        patch.setattr(word_tokens, "_TOGETHER", together)
+        found = encoder(FILE).all_ids(texts)
+    wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == wanted
+
+
+def test_new_words_of_many_texts_are_encoded_in_few_calls(tokenizer):
+    class Counted:
+        calls = 0
+
+        def encode_batch_fast(self, *args, **kwargs):
+            Counted.calls += 1
+            return tokenizer.encode_batch_fast(*args, **kwargs)
+
+    own = word_tokens.ChunkEncoder(FILE)
+    own._tokenizer, own._by_word = Counted(), own._by_word and Counted()
+    texts = [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}ow {i} new%%%" for i in range(100)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.all_ids(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert Counted.calls <= 4
+
+
 def check(rows, texts, tokenizer, capacity):
     wanted = Counter()
     for d, t in texts:
