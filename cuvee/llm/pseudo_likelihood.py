@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -79,49 +80,80 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"counted": None}  # tasks get the rest
 
+    @cached_property
+    def near(self) -> tuple[np.uint64, np.ndarray, int]:
+        """(shift, begins, most): the words that agree in the bits from ``shift`` on begin at ``begins`` of these, and are at most ``most``."""
+        bits = len(self.words).bit_length() + 3
+        shift = np.uint64(64 - bits)
+        begins = np.searchsorted(self.words, np.arange(1 << bits, dtype=np.uint64) << shift)
+        return shift, begins, int(np.diff(begins, append=len(self.words)).max())
+
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the vocabulary has each word, and whether it does."""
         if not len(self.words):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.searchsorted(self.words, hashes)
-        at[at == len(self.words)] = 0
-        return at, self.words[at] == hashes
+        shift, begins, most = self.near
+        at = begins.take((hashes >> shift).astype(np.int64))
+        for _ in range(most):
+            at += self.words.take(at, mode="clip") < hashes
+        np.minimum(at, len(self.words) - 1, out=at)
+        return at, self.words.take(at) == hashes
+
+    def place(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(embedding row, class) of each token."""
+        s = self.settings
+        at, found = self.find(hashes)
+        kind = self.class_of.take(at) if len(self.words) else np.empty(len(at), np.int64)
+        row = at + s.buckets
+        rare = np.flatnonzero(~found)
+        row[rare] = hashes[rare] % np.uint64(s.buckets)
+        kind[rare] = s.single + s.known + self.group(hashes[rare])[0]
+        return row, kind
 
     def encode(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(embedding row, class, log P(word | class)) of each token."""
         s = self.settings
-        at, found = self.find(hashes)
-        bucket = (hashes % np.uint64(s.buckets)).astype(np.int64)
-        other = (hashes >> np.uint64(40)).astype(np.int64) % s.other
-        if not len(self.words):
-            return bucket, s.single + s.known + other, self.other_share[other]
-        row = np.where(found, at + s.buckets, bucket)
-        return row, np.where(found, self.class_of[at], s.single + s.known + other), np.where(found, self.share[at], self.other_share[other])
+        row, kind = self.place(hashes)
+        share, known = np.empty(len(row)), row >= s.buckets
+        share[known] = self.share[row[known] - s.buckets]
+        share[~known] = self.other_share[kind[~known] - s.single - s.known]
+        return row, kind, share
 
     def group(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The class, from 0, and the group in it of words outside the vocabulary."""
         s = self.settings
         return (hashes >> np.uint64(40)).astype(np.int64) % s.other, (hashes >> np.uint64(48)).astype(np.int64) & ((1 << s.depth) - 1)
 
-    def path(self, row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place of the token, node, side) of every node on the ways to some tokens, token by token."""
+    def path(self, row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, list[tuple[slice, slice, int]], np.ndarray, np.ndarray]:
+        """(places of the tokens that have a way, runs, node, side) of every node on these ways, token by token. The tokens of a run, a part of the
+        places and a part of the nodes, have ways of the same length: the words of the vocabulary by length, then the others."""
         s = self.settings
-        known = row >= s.buckets
-        word = np.where(known, row - s.buckets, 0)
-        first = self.path_at[word]
-        long = np.where(known, self.path_at[word + 1] - first, s.depth) if len(self.words) else np.full(len(row), s.depth)
-        token = np.repeat(np.arange(len(row)), long)
-        level = np.arange(len(token)) - np.repeat(np.cumsum(long) - long, long)
-        node, side = np.empty(len(token), np.int64), np.empty(len(token), bool)
-        on = known[token]
-        at = first[token[on]] + level[on]
-        node[on], side[on] = self.path_node[at], self.path_side[at]
-        of_class, group = self.group(hashes[token[~on]])
-        deep = level[~on]
+        known = np.flatnonzero(row >= s.buckets)
+        word = row[known] - s.buckets
+        first = self.path_at.take(word, mode="clip")
+        long = self.path_at.take(word + 1, mode="clip") - first
+        order = _order(long, 0)
+        often = np.bincount(long)
+        if len(often):  # a word that is alone in its class has no way
+            order = order[often[0] :]
+        known, first, long = known[order], first[order], long[order]
+        ends = np.cumsum(long)
+        at = np.repeat(first - ends + long, long) + np.arange(ends[-1] if len(ends) else 0)
+        others = np.flatnonzero(row < s.buckets) if s.depth else np.zeros(0, np.int64)
+        of_class, group = (x[:, None] for x in self.group(hashes[others]))
+        deep = np.arange(s.depth)
         trees = len(self.odds) - (s.other << s.depth)
-        node[~on] = trees + (of_class << s.depth) + (1 << deep) + (group >> (s.depth - deep))
-        side[~on] = (group >> (s.depth - 1 - deep)) & 1
-        return token, node, side
+        node = (of_class << s.depth) + (trees + (1 << deep)) + (group >> (s.depth - deep))
+        side = (group >> (s.depth - 1 - deep)) & 1
+        runs, token, begin = [], 0, 0
+        for length, n in [*enumerate(often.tolist()), (s.depth, len(others))]:
+            if length and n:
+                runs.append((slice(token, token + n), slice(begin, begin + n * length), length))
+                token, begin = token + n, begin + n * length
+        return (
+            np.concatenate([known, others]), runs, np.concatenate([self.path_node.take(at), node.ravel()]),
+            np.concatenate([self.path_side.take(at), side.ravel().astype(bool)]),
+        )
 
     def outside(self, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words outside the vocabulary, and where those of each text begin and end; texts end at ``bounds``."""
@@ -253,52 +285,97 @@ def _offsets(window: int) -> np.ndarray:
 
 
 def _forward(weights: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    seen = weights["embed"][context].reshape(len(context), -1)
-    hidden = np.tanh(seen @ weights["hide"] + weights["hide_at"])
-    raw = hidden @ weights["out"] + weights["out_at"]
-    raw -= raw.max(1, keepdims=True)
-    return seen, hidden, raw - np.log(np.exp(raw).sum(1, keepdims=True))
-
-
-def _inside(weights: dict[str, np.ndarray], odds: np.ndarray, hidden: np.ndarray, token: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The hidden layer of the token and the weights at each node of the paths, and the log odds of its second side."""
-    above, inner = hidden[token], weights["inner"][node]
-    return above, inner, odds[node] + np.einsum("ij,ij->i", above, inner)
-
-
-def _sums(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different values of ``at`` and the sum of the rows of each."""
-    order = np.argsort(at, kind="stable")
+    """What the network sees, its hidden layer, and the output before the softmax, less its largest value: a line per class, so that sums over
+    the classes run along the tokens."""
+    seen = weights["embed"].take(context, axis=0, mode="clip").reshape(len(context), -1)
+    hidden = seen @ weights["hide"]
+    hidden += weights["hide_at"]
+    np.tanh(hidden, out=hidden)
+    raw = weights["out"].T @ hidden.T
+    raw += weights["out_at"][:, None]
+    raw -= raw.max(0)
+    return seen, hidden, raw
+
+
+def _inside(weights: dict[str, np.ndarray], odds: np.ndarray, hidden: np.ndarray, path: tuple) -> tuple[np.ndarray, ...]:
+    """The hidden layer of the tokens with a way, the weights at each node of the ways, and the log odds of its second side."""
+    of, runs, node, _ = path
+    above, inner, z = hidden.take(of, axis=0), weights["inner"].take(node, axis=0, mode="clip"), odds.take(node)
+    for tokens, nodes, long in runs:
+        z[nodes] += np.einsum("nd,nld->nl", above[tokens], inner[nodes].reshape(-1, long, inner.shape[1])).ravel()
+    return above, inner, z
+
+
+def _order(at: np.ndarray, below: int) -> np.ndarray:
+    """Stable order of numbers from 0 to ``below``, by 16 bits at a time: these are sorted by counting."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")
+    for shift in range(16, int(below).bit_length(), 16):
+        order = order[np.argsort((at >> shift).astype(np.uint16)[order], kind="stable")]
+    return order
+
+
+def _sums(at: np.ndarray, rows: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different values of ``at``, all less than ``below``, and the sum of the rows of each."""
+    order = _order(at, below)
     ordered = at[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[first], np.add.reduceat(rows[order], first, axis=0)
+    often = np.diff(first, append=len(at))
+    sums, many = rows.take(order[first], axis=0), often > 1
+    if many.any():  # most values stand there once
+        added = rows.take(order[np.repeat(many, often)], axis=0)
+        begins = np.cumsum(often[many]) - often[many]
+        if added.shape[1] % 2 == 0 and added.dtype == np.float32:  # two columns at a time
+            added = np.add.reduceat(added.view(np.complex64), begins, axis=0).view(np.float32)
+        else:
+            added = np.add.reduceat(added, begins, axis=0)
+        sums[many] = added
+    return ordered[first], sums
+
+
+def _as_items(rows: np.ndarray) -> np.ndarray:
+    """Each row as one item, so that it is written in one go."""
+    return rows.view(np.dtype((np.void, rows.shape[1] * rows.itemsize)))[:, 0]
+
+
+def _step_rows(weights: np.ndarray, memory: np.ndarray, at: np.ndarray, step: np.ndarray, rate: float, least: float) -> None:
+    """An Adagrad step of some rows."""
+    past = memory.take(at, axis=0, mode="clip")
+    past += step * step
+    _as_items(memory)[at] = _as_items(past)
+    if least:
+        past += np.float32(least)
+    np.sqrt(past, out=past)
+    step *= np.float32(rate)
+    step /= past
+    _as_items(weights)[at] = _as_items(np.subtract(weights.take(at, axis=0, mode="clip"), step, out=step))
 
 
 def _learn(weights: dict[str, np.ndarray], memory: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, rate: float,
-           odds: np.ndarray, path: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+           odds: np.ndarray, path: tuple) -> None:
     """One Adagrad step on the mean loss of a batch, of the classes and of the trees."""
-    seen, hidden, logs = _forward(weights, context)
-    error = np.exp(logs)
-    error[np.arange(len(target)), target] -= 1
-    error /= len(target)
-    back = error @ weights["out"].T
-    token, node, side = path
-    if len(token):
-        above, inner, z = _inside(weights, odds, hidden, token, node)
-        wrong = ((1 / (1 + np.exp(-np.clip(z, -60, 60))) - side) / np.float32(len(target))).astype(np.float32)[:, None]
-        of_tokens, step = _sums(token, wrong * inner)
-        back[of_tokens] += step
-        of_nodes, step = _sums(node, wrong * above)
-        memory["inner"][of_nodes] += step * step
-        weights["inner"][of_nodes] -= rate * step / np.sqrt(memory["inner"][of_nodes])
-    back *= 1 - hidden**2
-    steps = {"out": hidden.T @ error, "out_at": error.sum(0), "hide": seen.T @ back, "hide_at": back.sum(0)}
+    seen, hidden, error = _forward(weights, context)
+    np.exp(error, out=error)
+    error *= 1 / (error.sum(0) * np.float32(len(target)))
+    error[target, np.arange(len(target))] -= np.float32(1 / len(target))
+    back = error.T @ weights["out"].T
+    of, runs, node, side = path
+    if len(node):
+        above, inner, z = _inside(weights, odds, hidden, path)
+        wrong = ((1 / (1 + np.exp(-np.clip(z, -60, 60))) - side) / np.float32(len(target))).astype(np.float32)
+        below = np.empty_like(above)
+        for tokens, nodes, long in runs:
+            share, ways = wrong[nodes].reshape(-1, long), inner[nodes].reshape(-1, long, inner.shape[1])
+            np.einsum("nl,nld->nd", share, ways, out=below[tokens])
+            np.multiply(share[:, :, None], above[tokens][:, None, :], out=ways)
+        back[of] += below
+        _step_rows(weights["inner"], memory["inner"], *_sums(node, inner, len(weights["inner"])), rate, 0.0)
+    back *= 1 - hidden * hidden
+    steps = {"out": (error @ hidden).T, "out_at": error.sum(1), "hide": seen.T @ back, "hide_at": back.sum(0)}
     for name, step in steps.items():
         memory[name] += step * step
         weights[name] -= rate * step / np.sqrt(memory[name] + 1e-8)
-    rows, of_rows = _sums(context.ravel(), (back @ weights["hide"].T).reshape(-1, weights["embed"].shape[1]))
-    memory["embed"][rows] += of_rows * of_rows
-    weights["embed"][rows] -= rate * of_rows / np.sqrt(memory["embed"][rows] + 1e-8)
+    of_rows = (back @ weights["hide"].T).reshape(-1, weights["embed"].shape[1])
+    _step_rows(weights["embed"], memory["embed"], *_sums(context.ravel(), of_rows, len(weights["embed"])), rate, 1e-8)
 
 
 def _texts(column: pa.Array, model: Model, limit: int = 1 << 18) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -332,17 +409,18 @@ def _round(docs: DataFrame, model: Model, number: int, text: str) -> dict[str, n
         for batch in batches:
             for _, _, held in _texts(batch.column(0), model):
                 hashes = np.concatenate(held)
-                row, kind, _ = model.encode(hashes)
+                row, kind = model.place(hashes)
                 line, at = _around(row, np.array([len(h) for h in held]), beyond, s.window)
                 # Which tokens are hidden moves with the round and from text to text.
                 shift = np.repeat([int(h[0] % np.uint64(s.mask_every)) if len(h) else 0 for h in held], [len(h) for h in held])
                 place = (np.arange(len(row)) + shift) % s.mask_every
+                order, ends = _order(place, s.mask_every), np.cumsum(np.bincount(place, minlength=s.mask_every))
                 for mask in masks(s, number):
-                    hidden = np.flatnonzero(place == mask)
+                    hidden = order[ends[mask - 1] if mask else 0 : ends[mask]]
                     for k in range(0, len(hidden), s.batch):
                         part = hidden[k : k + s.batch]
                         path = model.path(row[part], hashes[part])
-                        _learn(weights, memory, line[at[part][:, None] + offsets], kind[part], s.rate, model.odds, path)
+                        _learn(weights, memory, line.take(at[part][:, None] + offsets), kind[part], s.rate, model.odds, path)
                     tokens += len(hidden)
         if tokens:
             flat = np.concatenate([weights[k].ravel() for k in shapes])
@@ -385,16 +463,19 @@ def log_probabilities(model: Model, held: list[np.ndarray]) -> np.ndarray:
     """log P(token | both sides) of every token of some texts; a word outside the vocabulary as if seen once."""
     s = model.settings
     hashes = np.concatenate(held)
-    row, kind, _ = model.encode(hashes)
+    row, kind = model.place(hashes)
     line, at = _around(row, np.array([len(h) for h in held]), len(model.weights["embed"]) - 1, s.window)
     offsets, found = _offsets(s.window), np.empty(len(row))
     for k in range(0, len(row), 4096):
         part = slice(k, min(k + 4096, len(row)))
-        _, hidden, logs = _forward(model.weights, line[at[part][:, None] + offsets])
-        token, node, side = model.path(row[part], hashes[part])
-        z = _inside(model.weights, model.odds, hidden, token, node)[2]
+        _, hidden, raw = _forward(model.weights, line.take(at[part][:, None] + offsets))
+        path = of, runs, _, side = model.path(row[part], hashes[part])
+        z = _inside(model.weights, model.odds, hidden, path)[2]
         chosen = np.log1p(np.exp(np.clip(np.where(side, -z, z), -60, 60)))
-        found[part] = logs[np.arange(len(logs)), kind[part]] - np.bincount(token, chosen, len(logs))
+        own = raw[kind[part], np.arange(len(hidden))]
+        found[part] = own - np.log(np.exp(raw, out=raw).sum(0))
+        for tokens, nodes, long in runs:
+            found[part.start + of[tokens]] -= chosen[nodes].reshape(-1, long).sum(1, dtype=np.float64)
     rare = row < s.buckets
     found[rare] += model.group_share[model.group(hashes[rare])]
     return found

@@ -178,3 +178,61 @@ def test_every_token_trains(spark):
     df = spark.createDataFrame([(1, "a b")] * 4, "doc_id long, text string").coalesce(1)
     model = pl.train(df, pl.Settings(vocabulary=4, buckets=5, single=2, known=1, other=1))
     assert (model.weights["out_at"][:2] > 0).all()
+
+
+def test_sums_of_rows_beyond_16_bits():
+    rng = np.random.default_rng(1)
+    at, rows = rng.choice([0, 1, 65_536, 65_537, 199_999], 300), rng.normal(size=(300, 6)).astype(np.float32)
+    at[7] = 131_072  # once only
+    values, sums = pl._sums(at, rows, 200_000)
+    assert values.tolist() == sorted(set(at.tolist()))
+    assert sums == pytest.approx(np.array([rows[at == v].sum(0) for v in values]), abs=1e-4)
+    assert pl._sums(at, rows[:, :3].copy(), 200_000)[1] == pytest.approx(sums[:, :3], abs=1e-4)
+
+
+def test_words_are_found_where_hashes_share_their_first_bits(model):
+    words = np.array([0, 1, 2, 2**40, 2**63, 2**64 - 3, 2**64 - 1], dtype=np.uint64)
+    own = pl.Model(**{**{k: model.__dict__[k] for k in pl.Model.__dataclass_fields__}, "words": words})
+    others = np.array([3, 2**39, 2**40 + 1, 2**63 - 1, 2**63 + 7, 2**64 - 4, 2**64 - 2], dtype=np.uint64)
+    at, found = own.find(np.concatenate([words, others]))
+    assert at[:7].tolist() == list(range(7)) and found.tolist() == [True] * 7 + [False] * 7
+
+
+def test_a_step_follows_the_definition(docs, model):
+    """Adagrad on the gradient of the mean loss, token by token and node by node."""
+    texts = [r.text for r in docs.limit(8).collect()] + ["never seen w3 words w1"]
+    held = [h for _, h in words_by_text(pa.array(texts, pa.string()))]
+    hashes, s = np.concatenate(held), model.settings
+    row, kind = model.place(hashes)
+    line, at = pl._around(row, np.array([len(h) for h in held]), len(model.weights["embed"]) - 1, s.window)
+    context, path = line[at[:, None] + pl._offsets(s.window)], model.path(row, hashes)
+    w, memory = {k: v.copy() for k, v in model.weights.items()}, {k: np.full_like(v, 1e-2) for k, v in model.weights.items()}
+    pl._learn(w, memory, context, kind, s.rate, model.odds, path)
+    slow, nodes = {k: np.zeros(v.shape) for k, v in w.items()}, {int(t): [] for t in range(len(row))}
+    places, runs, node, side = path
+    for tokens, part, long in runs:
+        for t, n, x in zip(places[tokens], node[part].reshape(-1, long), side[part].reshape(-1, long), strict=True):
+            nodes[int(t)] = list(zip(n.tolist(), x.tolist(), strict=True))
+    assert nodes[len(row) - 5] and len(nodes[len(row) - 5]) == s.depth
+    old, back_to_rows = {k: v.astype(np.float64) for k, v in model.weights.items()}, []
+    for t in range(len(row)):
+        seen = old["embed"][context[t]].ravel()
+        hidden = np.tanh(seen @ old["hide"] + old["hide_at"])
+        raw = hidden @ old["out"] + old["out_at"]
+        error = np.exp(raw) / np.exp(raw).sum()
+        error[kind[t]] -= 1
+        back = old["out"] @ error
+        for n, second in nodes[t]:
+            wrong = 1 / (1 + np.exp(-model.odds[n] - old["inner"][n] @ hidden)) - second
+            back += wrong * old["inner"][n]
+            slow["inner"][n] += wrong * hidden / len(row)
+        back *= (1 - hidden**2) / len(row)
+        slow["out"] += np.outer(hidden, error) / len(row)
+        slow["out_at"] += error / len(row)
+        slow["hide"] += np.outer(seen, back)
+        slow["hide_at"] += back
+        back_to_rows.append(back)
+    for t, back in enumerate(back_to_rows):  # by the weights as they are after their own step
+        np.add.at(slow["embed"], context[t], (w["hide"] @ back).reshape(len(context[t]), -1))
+    for k, step in slow.items():
+        assert w[k] == pytest.approx(old[k] - s.rate * step / np.sqrt(1e-2 + step**2), abs=2e-5), k
