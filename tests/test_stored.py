@@ -4,12 +4,16 @@ import glob
 import os
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from cuvee import runtime
 from cuvee.operators import topics
+from cuvee.operators.assemble import FeatureSettings, apply_features, count_terms, fit_features
 from cuvee.operators.text import TermCounter
 from cuvee.operators.topics import TextTopics
+from cuvee.plans import rating
+from cuvee.plans.fixture import reviews
 
 SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -60,3 +64,19 @@ def test_the_start_of_the_components_is_neither_stored_nor_shipped(counted, monk
     monkeypatch.setattr(topics, "DENSE_CELLS", 0)
     TextTopics(inputCols=["body"], outputCols=["b"], topics=[3], maxIter=3, tol=0.0, seed=1).fit(counted)
     assert labels.index("term-sums") < labels.index("components")
+
+
+def test_features_are_put_together_from_stored_topic_weights(spark, sf_dir, folder):
+    from cuvee.sources.reviews import read_split
+
+    raw = reviews(spark, sf_dir).limit(200).withColumn("description", F.substring_index("description", ".", 1))
+    rating.prepare(raw, folder)
+    settings = FeatureSettings(max_iter=2, topics={"designation": 2, "description": 2, "title": 2})
+    counted = runtime.materialize(count_terms(read_split(spark, folder, "train"), settings), "train")
+    model = fit_features(counted, settings)
+    found = apply_features(model, counted, settings)
+    # The terms are not taken apart again in the plan of the encoders.
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    whole = model.transform(counted).select("row_id", "features").collect()
+    assert sorted((r["row_id"], r["features"]) for r in whole) == sorted((r["row_id"], r["features"]) for r in found.collect())
+    assert isinstance(model, PipelineModel) and len(whole) == 160
